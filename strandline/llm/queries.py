@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.llm import minhash
+from strandline.llm import bpe, minhash, sharding
 from strandline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +28,19 @@ def query(name: str, oracle: str | None = None):
 @query("op6_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_sharding")
+def karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
+
+
+@query("op8_bpe_word_table")
+def bpe_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
