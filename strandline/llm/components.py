@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.lineage import cut
 
+#: Edges that are merged in one task at most.
+SMALL = 500_000
+
 
 def _mark(edges: DataFrame) -> tuple:
     """Count and order-free sums that change when the edge set does."""
@@ -21,13 +26,31 @@ def _mark(edges: DataFrame) -> tuple:
     )
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def _merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components of a bounded edge list: labels sink to the smallest, over edges and over labels."""
+    edges = pd.concat(frames)
+    nodes, ends = np.unique(edges[["u", "v"]].to_numpy(np.int64), return_inverse=True)
+    u, v = ends.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        lower = label.copy()
+        np.minimum.at(lower, label[u], label[v])
+        np.minimum.at(lower, label[v], label[u])
+        lower = lower[lower[lower]]
+        if (lower == label).all():
+            break
+        label = lower
+    yield pd.DataFrame({"node": nodes, "component": nodes[label]})
+
+
+def connected_components(edges: DataFrame, small: int = SMALL) -> DataFrame:
     """Smallest reachable node for each node of an edge list.
 
     Takes two long columns, the ends of each edge, and returns (node, component) for the nodes
-    that have an edge to another node. Large-star and small-star steps alternate until the edges
-    form stars around the smallest nodes. Edges with a null end are ignored; no edges, no rows.
-    Only edge counts reach the driver.
+    that have an edge to another node. Up to ``small`` distinct edges (16 bytes each) are merged in
+    one task. More are merged by large-star and small-star steps in turn, until the edges form stars
+    around the smallest nodes. Edges with a null end are ignored; no edges, no rows. Only edge counts
+    reach the driver.
     """
     a, b = edges.columns[:2]
     stars = cut(
@@ -36,6 +59,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     before = _mark(stars)
+    if 0 < before[0] <= small:
+        return cut(stars.repartition(1).mapInPandas(_merged, "node long, component long"))
     while before[0]:
         lowest = cut(
             stars.select(F.col("u").alias("n"), F.col("v").alias("m"))
@@ -61,21 +86,46 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return leaves.union(stars.select("v", "v").distinct())
 
 
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets whose nodes lie in several components: bucket, node, part, largest."""
+    placed = rows.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    mixed = cut(
+        placed.groupBy("bucket", "part")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("bucket", F.col("top.part").alias("largest"))
+    )
+    return cut(placed.join(mixed, "bucket").select("bucket", "node", "part", "largest"))
+
+
+def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
 def link_buckets(
-    buckets: DataFrame,
+    nodes: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
+    possible: Callable[[str, str], Column] | None = None,
+    tries: int = 2,
     centres: int = 64,
 ) -> DataFrame:
     """Components of the verified links between nodes that share a bucket.
 
-    ``buckets`` has (bucket, node) longs; ``verify`` takes pairs (a, b) and returns those that are
-    linked. First every node is compared with the smallest node of its buckets. A bucket whose
-    members then lie in one component needs no more; in any other bucket, each member outside its
-    largest component is compared with all members of other components, ``centres`` of them a
-    round. So a round makes at most ``centres`` pairs for each bucket row, and every pair of a bucket
-    is either compared or already connected. Returns (node, component) for linked nodes.
+    ``nodes`` has a long ``node`` of its own for each row, the array ``keys`` of its buckets (longs,
+    in a fixed order, a key never at two places) and more columns that ``possible`` may read. ``verify`` takes
+    pairs (a, b) and returns those that are linked; ``possible`` gives a cheap condition, without
+    false negatives, on two aliased rows of ``nodes``.
+
+    The pairs of a bucket are never all made. First each node is compared with the smallest node of
+    its buckets. Then, ``tries`` times, in each bucket that is still mixed (its nodes lie in several
+    components) two random nodes of the largest component are compared with the nodes outside it.
+    Last, each node that is still outside is compared with all possible nodes of other components,
+    in the first bucket that they share and ``centres`` nodes a round. So every possible pair of a bucket
+    is compared, or its nodes are connected. Returns (node, component) for linked nodes.
     """
-    buckets = buckets.distinct()
+    buckets = nodes.select(F.explode(F.array_distinct("keys")).alias("bucket"), "node")
     shared = cut(
         buckets.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("node").alias("centre"))
@@ -87,31 +137,43 @@ def link_buckets(
     links = cut(verify(first.select("a", "b")))
     labels = connected_components(links)
 
-    placed = rows.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    mixed = cut(
-        placed.groupBy("bucket", "part")
-        .agg(F.count("*").alias("n"))
-        .groupBy("bucket")
-        .agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("bucket", F.col("top.part").alias("largest"))
-    )
-    members = cut(placed.join(mixed, "bucket"))
-    order = Window.partitionBy("bucket").orderBy("centre")
+    for turn in range(tries):
+        members = _mixed(rows, labels)
+        draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
+        picks = cut(
+            members.where("part = largest")
+            .groupBy("bucket")
+            .agg(F.min(draw).alias("low"), F.max(draw).alias("high"))
+            .select("bucket", F.col("low.node").alias("low"), F.col("high.node").alias("high"))
+        )
+        outside = members.where("part != largest").select("bucket", "node").join(picks, "bucket")
+        pairs = _ordered(outside.select("node", F.explode(F.array("low", "high")).alias("pick")), "node", "pick")
+        found = cut(verify(pairs))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = connected_components(links)
+
+    members = _mixed(rows, labels)
+    order = Window.partitionBy("bucket").orderBy("node")
     outside = cut(
         members.where("part != largest")
-        .select("bucket", F.col("node").alias("centre"), F.col("part").alias("own"))
+        .select("bucket", "node", F.col("part").alias("own"))
         .withColumn("turn", F.floor((F.row_number().over(order) - 1) / centres))
     )
     turns = outside.agg(F.max("turn")).first()[0]
     if turns is None:
         return labels
+    others = cut(members.join(nodes, "node"))
+    outside = cut(outside.join(nodes, "node"))
+    x_keys, y_keys = F.col("x.keys"), F.col("y.keys")
+    met = F.array_position(F.zip_with(x_keys, y_keys, lambda p, q: p == q), True)
+    meeting = (F.col("x.part") != F.col("y.own")) & (met == F.array_position(x_keys, F.col("x.bucket")))
+    if possible is not None:
+        meeting = possible("x", "y") & meeting
     for turn in range(int(turns) + 1):
-        pairs = (
-            members.join(outside.where(F.col("turn") == turn), "bucket")
-            .where("part != own")
-            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-            .distinct()
-        )
-        links = links.unionByName(cut(verify(pairs)))
+        centre = outside.where(F.col("turn") == turn)
+        pairs = others.alias("x").join(centre.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & meeting)
+        found = cut(verify(_ordered(pairs.select("x.node", F.col("y.node").alias("other")), "node", "other")))
+        links = links.unionByName(found)
     return connected_components(links)

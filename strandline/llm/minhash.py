@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.components import link_buckets
@@ -53,6 +53,21 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+#: Fixed value: the lower bit of each two.
+LOWER_BITS = 0x5555555555555555
+#: Two bits of each bin must differ in more than this share of bins to rule a pair out, which at the
+#: threshold of 0.75 is six standard deviations from the mean.
+DIFFERENT = 0.42
+#: Sets smaller than this are never ruled out by their sketches.
+SKETCHED = 64
+
+
+def two_bits(signature: np.ndarray) -> np.ndarray:
+    """Two scrambled bits of each bin, 32 bins to a 64-bit integer."""
+    bits = (mix(signature) >> np.uint64(62)).reshape(len(signature), -1, 32)
+    return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
 def _sketch(words: int, bins: int, rows: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -62,19 +77,22 @@ def _sketch(words: int, bins: int, rows: int):
                 some = [i for i, s in enumerate(sets) if len(s)]
                 keys = [None] * len(sets)
                 bands = [None] * len(sets)
+                sketches = [None] * len(sets)
                 if some:
-                    found = band_keys(signatures([sets[i] for i in some], bins), rows)
-                    for i, band in zip(some, found):
+                    signature = signatures([sets[i] for i in some], bins)
+                    for i, band, sketch in zip(some, band_keys(signature, rows), two_bits(signature)):
                         keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                         bands[i] = band
+                        sketches[i] = sketch
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "n_shingles", "set_key", "keys", "sketch"],
                 )
 
     return run
@@ -114,34 +132,34 @@ def near_duplicates(
     kept is true. Other columns are ignored; an empty table gives no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = cut(
-        source.mapInArrow(_sketch(words, bins, rows), "doc_id long, n_shingles long, set_key binary, bands array<long>")
-    )
+    fields = "doc_id long, n_shingles long, set_key binary, keys array<long>, sketch array<long>"
+    sketches = cut(source.mapInArrow(_sketch(words, bins, rows), fields))
     usable = sketches.where("set_key is not null and doc_id is not null")
-    groups = cut(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("g"))).select(
-        "set_key", F.col("g.doc_id").alias("node"), F.col("g.n_shingles").alias("n"), F.col("g.bands").alias("bands")
-    )
-    sizes = groups.select("node", "n").groupBy("node").agg(F.max("n").alias("n"))
+    same = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "keys", "sketch")).alias("g"))
+    groups = cut(same.select("set_key", F.col("g.doc_id").alias("node"), "g.n_shingles", "g.keys", "g.sketch"))
+
+    def possible(x: str, y: str) -> Column:
+        a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        differing = F.lit(0)
+        for k in range(bins // 32):
+            bits = F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])
+            differing += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(LOWER_BITS))
+        alike = (F.least(a, b) < SKETCHED) | (differing <= int(bins * DIFFERENT))
+        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & alike
 
     def verify(pairs: DataFrame) -> DataFrame:
-        near = cut(
-            pairs.join(sizes.toDF("a", "n_a"), "a")
-            .join(sizes.toDF("b", "n_b"), "b")
-            .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-            .select("a", "b")
-        )
-        ids = cut(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        pairs = cut(pairs)
+        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         wanted = source.join(ids, source.doc_id == ids.node, "left_semi")
         sets = cut(wanted.mapInArrow(_sets(words), "node long, items array<long>").where("size(items) > 0"))
-        both = near.join(sets.toDF("b", "items_b"), "b").join(sets.toDF("a", "items_a"), "a")
+        both = pairs.join(sets.toDF("b", "items_b"), "b").join(sets.toDF("a", "items_a"), "a")
         common = F.size(F.array_intersect("items_a", "items_b"))
         union = F.size("items_a") + F.size("items_b") - common
         return both.where(common * 100 >= union * percent).select("a", "b")
 
-    buckets = groups.select(F.explode("bands").alias("bucket"), "node")
-    labels = link_buckets(buckets, verify)
+    labels = link_buckets(groups, verify, possible)
     found = groups.join(labels, "node").select("set_key", "component")
     named = usable.join(groups.select("set_key", "node"), "set_key").join(found, "set_key", "left")
     named = named.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
