@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, embeddings, htmltext, linededup, minhash, mixing, quality, sharding
+from strandline.llm import bpe, editprint, embeddings, htmltext, linededup, minhash, mixing, quality, sharding
 from strandline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
 
 
+@query("op2_edit_fingerprints")
+def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 @query("op3_sharding")
 def karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
