@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, editprint, embeddings, htmltext, linededup, minhash, mixing, quality, sharding
+from strandline.llm import bpe, editprint, embeddings, htmltext, linededup, minhash, mixing, quality, repeats, sharding
 from strandline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
 
 
+@query("op7_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"), 200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_bpe_word_table")
 def bpe_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
