@@ -9,8 +9,8 @@ import pyarrow as pa
 
 #: The white-space bytes that separate words.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-#: Text bytes handled at a time; hashing needs about 40 times as much memory.
-SLICE = 1 << 21
+#: Text bytes handled at a time; hashing needs about 60 times as much memory.
+SLICE = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
@@ -36,8 +36,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_UP = _powers(_BASE, 1 << 16)
-_DOWN = _powers(pow(_BASE, -1, 1 << 64), 1 << 16)
+_UP = _powers(_BASE, 1 << 20)
+_DOWN = _powers(pow(_BASE, -1, 1 << 64), 1 << 20)
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
