@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,3 +88,8 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing", mixing.ORACLE)
 def golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
