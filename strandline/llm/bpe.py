@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from strandline.llm.lineage import map_arrow
+
 #: Words that a task's table holds before it is begun anew.
 TABLE_WORDS = 400_000
 #: Characters of text handled at a time.
@@ -159,7 +161,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tupl
     """
     chosen = docs.select(F.col(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
     fields = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.select(*keep).dtypes))
-    coded = chosen.mapInArrow(_run(path), f"{fields}, ids binary, decoded string")
+    coded = map_arrow(chosen, _run(path), f"{fields}, ids binary, decoded string")
     return coded.toDF(*keep, "ids", "decoded")
 
 

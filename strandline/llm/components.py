@@ -6,13 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 
 #: Edges that are merged in one task at most.
 SMALL = 500_000
+#: Data of a bucket's nodes that one task compares at a time, about.
+BLOCK_BYTES = 8 << 20
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -104,26 +107,61 @@ def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _compare(prepare: Callable[[list[bytes]], Callable[[bytes], np.ndarray]]):
+    """Rows (bucket, i, j, outside, node, part, data), sorted by group -> links (a, b) found in a group.
+
+    Each node that is outside is compared with all others of its group; of those it is linked to, it
+    gets one link for each other component.
+    """
+
+    def links(outside: list[tuple], inside: list[tuple]) -> list[tuple[int, int]]:
+        if not outside or not inside:
+            return []
+        linked = prepare([x[2] for x in inside])
+        nodes, parts = np.array([x[0] for x in inside]), np.array([x[1] for x in inside])
+        out = []
+        for node, part, data in outside:
+            near = np.flatnonzero(linked(data) & (parts != part))
+            for k in near[np.unique(parts[near], return_index=True)[1]]:
+                out.append((min(node, int(nodes[k])), max(node, int(nodes[k]))))
+        return out
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, outside, inside, found = None, [], [], []
+        for frame in frames:
+            for row in zip(*[frame.column(k).to_pylist() for k in range(7)]):
+                if row[:3] != group:
+                    found += links(outside, inside)
+                    group, outside, inside = row[:3], [], []
+                (outside if row[3] else inside).append(row[4:])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            found = []
+        found = links(outside, inside)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def link_buckets(
     nodes: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    possible: Callable[[str, str], Column] | None = None,
+    fetch: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[list[bytes]], Callable[[bytes], np.ndarray]],
     tries: int = 2,
-    centres: int = 64,
 ) -> DataFrame:
     """Components of the verified links between nodes that share a bucket.
 
-    ``nodes`` has a long ``node`` of its own for each row, the array ``keys`` of its buckets (longs,
-    in a fixed order, a key never at two places) and more columns that ``possible`` may read. ``verify`` takes
-    pairs (a, b) and returns those that are linked; ``possible`` gives a cheap condition, without
-    false negatives, on two aliased rows of ``nodes``.
+    ``nodes`` has a long ``node`` of its own for each row and the array ``keys`` of its buckets
+    (longs). ``verify`` takes pairs (a, b) and returns those that are linked. ``fetch`` takes rows
+    (node) and returns (node, data binary); ``prepare`` takes the data of some nodes and returns a
+    function from data to whether it is linked to each of them.
 
-    The pairs of a bucket are never all made. First each node is compared with the smallest node of
+    The pairs of a bucket are never made as rows. First each node is compared with the smallest node of
     its buckets. Then, ``tries`` times, in each bucket that is still mixed (its nodes lie in several
     components) two random nodes of the largest component are compared with the nodes outside it.
-    Last, each node that is still outside is compared with all possible nodes of other components,
-    in the first bucket that they share and ``centres`` nodes a round. So every possible pair of a bucket
-    is compared, or its nodes are connected. Returns (node, component) for linked nodes.
+    Last, each node that is still outside is compared with all nodes of other components in its buckets,
+    in blocks of at most about BLOCK_BYTES a side. So each pair of a bucket is compared, or its nodes
+    are connected. Returns (node, component) for linked nodes.
     """
     buckets = nodes.select(F.explode(F.array_distinct("keys")).alias("bucket"), "node")
     shared = cut(
@@ -155,25 +193,21 @@ def link_buckets(
         labels = connected_components(links)
 
     members = _mixed(rows, labels)
-    order = Window.partitionBy("bucket").orderBy("node")
-    outside = cut(
-        members.where("part != largest")
-        .select("bucket", "node", F.col("part").alias("own"))
-        .withColumn("turn", F.floor((F.row_number().over(order) - 1) / centres))
-    )
-    turns = outside.agg(F.max("turn")).first()[0]
-    if turns is None:
+    ids = cut(members.select("node").distinct())
+    if ids.isEmpty():
         return labels
-    others = cut(members.join(nodes, "node"))
-    outside = cut(outside.join(nodes, "node"))
-    x_keys, y_keys = F.col("x.keys"), F.col("y.keys")
-    met = F.array_position(F.zip_with(x_keys, y_keys, lambda p, q: p == q), True)
-    meeting = (F.col("x.part") != F.col("y.own")) & (met == F.array_position(x_keys, F.col("x.bucket")))
-    if possible is not None:
-        meeting = possible("x", "y") & meeting
-    for turn in range(int(turns) + 1):
-        centre = outside.where(F.col("turn") == turn)
-        pairs = others.alias("x").join(centre.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & meeting)
-        found = cut(verify(_ordered(pairs.select("x.node", F.col("y.node").alias("other")), "node", "other")))
-        links = links.unionByName(found)
-    return connected_components(links)
+    full = members.join(cut(fetch(ids)), "node").withColumn("outside", F.col("part") != F.col("largest"))
+    full = full.withColumn("weight", F.octet_length("data"))
+    heavy = F.ceil(F.sum("weight") / BLOCK_BYTES), F.ceil(F.sum(F.when(F.col("outside"), F.col("weight"))) / BLOCK_BYTES)
+    blocks = cut(full.groupBy("bucket").agg(heavy[0].alias("inner"), heavy[1].alias("outer")))
+    full = full.join(blocks, "bucket")
+    numbers = {side: F.sequence(F.lit(1), F.col(side).cast("int")) for side in ("inner", "outer")}
+    place = {side: (F.pmod(F.xxhash64("node"), F.col(side)) + 1).cast("int") for side in ("inner", "outer")}
+    inside = full.withColumn("i", F.explode(numbers["outer"])).withColumn("j", place["inner"]).withColumn("asks", F.lit(False))
+    asking = full.where("outside").withColumn("j", F.explode(numbers["inner"])).withColumn("i", place["outer"])
+    asking = asking.withColumn("asks", F.lit(True))
+    columns = ["bucket", "i", "j", "asks", "node", "part", "data"]
+    groups = inside.select(columns).unionByName(asking.select(columns)).repartition("bucket", "i", "j")
+    ordered = groups.sortWithinPartitions("bucket", "i", "j")
+    found = map_arrow(ordered, _compare(prepare), "a long, b long").distinct()
+    return connected_components(links.unionByName(cut(found)))

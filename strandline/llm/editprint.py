@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.llm.components import link_buckets
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import mix
 
 #: Coordinates of an embedding that a fingerprint samples: about this many of 2^level.
@@ -251,7 +252,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if before:
         rows = rows.union(followers.select(to[F.col("place")].alias("bucket"), F.lit(True), "doc_id", "text", "place"))
     ordered = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "last", F.desc("place"), "text")
-    found = ordered.select("bucket", "last", "doc_id", "text").mapInArrow(_following, _FIELDS)
+    found = map_arrow(ordered.select("bucket", "last", "doc_id", "text"), _following, _FIELDS)
     return found.withColumnRenamed("doc_id", id_col)
 
 
@@ -273,7 +274,7 @@ def _printed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint) of every row; a null text counts as empty, equal texts have equal fingerprints."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(_printed, "doc_id long, fingerprint string").withColumnRenamed("doc_id", id_col)
+    return map_arrow(source, _printed, "doc_id long, fingerprint string").withColumnRenamed("doc_id", id_col)
 
 
 def band_keys(print_: str) -> list[int]:
@@ -297,6 +298,38 @@ def hash_key(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Edit distance of two arrays of code points, or most + 1 if it is greater."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > most:
+        return most + 1
+    row = np.arange(len(b) + 1)
+    ramp = np.arange(len(b) + 1)
+    for i, c in enumerate(a, 1):
+        best = np.append(i, np.minimum(row[1:] + 1, row[:-1] + (b != c)))
+        row = np.minimum.accumulate(best - ramp) + ramp
+        if row.min() > most:
+            return most + 1
+    return min(int(row[-1]), most + 1)
+
+
+def _nearby(share: float):
+    """Some texts, to tell which of them are linked to another."""
+
+    def prepare(data: list[bytes]):
+        texts = [codes_of(x.decode()) for x in data]
+
+        def linked(one: bytes) -> np.ndarray:
+            own = codes_of(one.decode())
+            mosts = [math.floor(max(len(own), len(x)) * share) for x in texts]
+            return np.array([edit_distance(own, x, most) <= most for x, most in zip(texts, mosts)])
+
+        return linked
+
+    return prepare
+
+
 def near_texts(docs: DataFrame, share: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents that are an edit distance of at most ``share`` of the longer text apart.
 
@@ -323,7 +356,10 @@ def near_texts(docs: DataFrame, share: float = 0.1, id_col: str = "doc_id", text
         close = F.abs(F.length("x") - F.length("y")) <= most
         return both.where(close & (F.levenshtein("x", "y") <= most)).select("a", "b")
 
-    labels = link_buckets(cut(nodes), verify)
+    def fetch(ids: DataFrame) -> DataFrame:
+        return texts.join(ids, "node", "left_semi").select("node", F.col("text").cast("binary").alias("data"))
+
+    labels = link_buckets(cut(nodes), verify, fetch, _nearby(share))
     found = source.join(groups, "same", "left").join(labels, "node", "left")
     alone = F.col("text").isNull() | (F.col("text") == "") | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "node"))

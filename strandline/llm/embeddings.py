@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.components import link_buckets
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import mix
 
 #: Vectors of a component that one task holds at a time.
@@ -125,6 +125,28 @@ def _near(threshold: float):
     return run
 
 
+def _matrix(threshold: float):
+    """Some vectors, to tell which of them are linked to another."""
+
+    def prepare(data: list[bytes]):
+        vectors = [np.frombuffer(x) for x in data]
+        by_dim = {}
+        for dim in {len(x) for x in vectors}:
+            own = np.array([i for i, x in enumerate(vectors) if len(x) == dim])
+            by_dim[dim] = own, _unit(np.array([vectors[i] for i in own]))
+
+        def linked(one: bytes) -> np.ndarray:
+            x, out = np.frombuffer(one), np.zeros(len(vectors), bool)
+            if len(x) in by_dim:
+                own, rows = by_dim[len(x)]
+                out[own] = rows @ _unit(x[None])[0] >= threshold
+            return out
+
+        return linked
+
+    return prepare
+
+
 def _count(threshold: float):
     """Links within one pair of blocks of a component: (node, links to rows of the other block)."""
 
@@ -170,20 +192,23 @@ def near_vectors(
     table gives no rows.
     """
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = cut(source.mapInArrow(_prepare, "vec_id long, same binary, data binary"))
+    rows = cut(map_arrow(source, _prepare, "vec_id long, same binary, data binary"))
     usable = rows.where("same is not null and vec_id is not null")
     groups = usable.groupBy("same").agg(
         F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.min("data").alias("data")
     )
     groups = cut(groups)
     data = groups.select("node", "data")
-    nodes = cut(data.mapInArrow(_keys(tables, hashes, probes, seed), "node long, keys array<long>"))
+    nodes = cut(map_arrow(data, _keys(tables, hashes, probes, seed), "node long, keys array<long>"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(data.toDF("a", "x"), "a").join(data.toDF("b", "y"), "b").select("a", "b", "x", "y")
-        return both.mapInArrow(_near(threshold), "a long, b long")
+        return map_arrow(both, _near(threshold), "a long, b long")
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        return data.join(ids, "node", "left_semi")
 
-    labels = cut(link_buckets(nodes, verify))
+    labels = cut(link_buckets(nodes, verify, fetch, _matrix(threshold)))
     sizes = cut(labels.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
     members = (
         groups.join(labels, "node")

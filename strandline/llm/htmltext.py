@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 
 #: A subtree is template if it is on at least so many distinct pages of its host, and on this share of them.
 PAGES = 3
@@ -282,7 +282,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), _HOST, 1), F.lit("")))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
-    found = source.select("host", "html").mapInArrow(_subtrees, "host string, page long, hash long, inside boolean")
+    found = map_arrow(source.select("host", "html"), _subtrees, "host string, page long, hash long, inside boolean")
     counts = found.distinct().groupBy("host", "hash", "inside").agg(F.count("*").alias("n"))
     counts = cut(counts.where((F.col("hash") == 0) | (F.col("n") >= PAGES)))
     totals = counts.where("hash = 0").select("host", F.col("n").alias("all"))
@@ -293,9 +293,6 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     hosts = cut(template.groupBy("host").agg(F.collect_set("hash").alias("template")))
     size = hosts.agg(F.sum(F.size("template"))).first()[0] or 0
     hosts = F.broadcast(hosts) if size <= BROADCAST_HASHES else hosts
-    texts = (
-        source.join(hosts, "host", "left")
-        .select("page_id", "url", "html", "template")
-        .mapInArrow(_extracted, f"page_id {dict(source.dtypes)['page_id']}, url string, text string")
-    )
+    known = source.join(hosts, "host", "left").select("page_id", "url", "html", "template")
+    texts = map_arrow(known, _extracted, f"page_id {dict(source.dtypes)['page_id']}, url string, text string")
     return texts.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,21 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, read from the shared checkpoint folder from now on."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+#: What one Arrow batch sent to Python may hold, as texts can be long.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of Arrow batches, where they are higher, so that Python's memory is bounded."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """mapInArrow over batches of bounded size."""
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.components import link_buckets
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import batches_of, mix, shingles
 
 #: Documents that take part in a comparison may be broadcast up to this many ids (16 bytes each).
@@ -53,21 +53,6 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-#: Fixed value: the lower bit of each two.
-LOWER_BITS = 0x5555555555555555
-#: Two bits of each bin must differ in more than this share of bins to rule a pair out, which at the
-#: threshold of 0.75 is six standard deviations from the mean.
-DIFFERENT = 0.42
-#: Sets smaller than this are never ruled out by their sketches.
-SKETCHED = 64
-
-
-def two_bits(signature: np.ndarray) -> np.ndarray:
-    """Two scrambled bits of each bin, 32 bins to a 64-bit integer."""
-    bits = (mix(signature) >> np.uint64(62)).reshape(len(signature), -1, 32)
-    return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).view(np.int64)
-
-
 def _sketch(words: int, bins: int, rows: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -77,22 +62,19 @@ def _sketch(words: int, bins: int, rows: int):
                 some = [i for i, s in enumerate(sets) if len(s)]
                 keys = [None] * len(sets)
                 bands = [None] * len(sets)
-                sketches = [None] * len(sets)
                 if some:
                     signature = signatures([sets[i] for i in some], bins)
-                    for i, band, sketch in zip(some, band_keys(signature, rows), two_bits(signature)):
+                    for i, band in zip(some, band_keys(signature, rows)):
                         keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                         bands[i] = band
-                        sketches[i] = sketch
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "keys", "sketch"],
+                    names=["doc_id", "n_shingles", "set_key", "keys"],
                 )
 
     return run
@@ -102,15 +84,59 @@ def _sets(words: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for start, hashed in batches_of(frame.column(1)):
-                sets = [shingles(h, words).view(np.int64) for h in hashed]
+                sets = [shingles(h, words).tobytes() for h in hashed]
                 yield pa.RecordBatch.from_arrays(
-                    [frame.column(0).slice(start, len(sets)), pa.array(sets, pa.list_(pa.int64()))],
-                    names=["node", "items"],
+                    [frame.column(0).slice(start, len(sets)), pa.array(sets, pa.binary())], names=["node", "data"]
                 )
 
     return run
 
 
+def _alike(percent: int):
+    """Keep the pairs of sets that are linked."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            linked = []
+            for left, right in zip(frame.column(2), frame.column(3)):
+                x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
+                most = min(len(x), len(y))
+                if most * 100 < percent * max(len(x), len(y)):
+                    linked.append(False)
+                    continue
+                at = np.searchsorted(y, x)
+                common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                linked.append(common * 100 >= percent * (len(x) + len(y) - common))
+            yield frame.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    return run
+
+
+def _index(percent: int):
+    """An inverted index of some sets that tells which of them are linked to another."""
+
+    def prepare(sets: list[bytes]):
+        items = [np.frombuffer(x, np.uint64) for x in sets]
+        sizes = np.array([len(x) for x in items])
+        flat = np.concatenate(items)
+        order = np.argsort(flat, kind="stable")
+        owners = np.repeat(np.arange(len(items)), sizes)[order]
+        flat = flat[order]
+
+        def linked(data: bytes) -> np.ndarray:
+            own = np.frombuffer(data, np.uint64)
+            low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+            n = high - low
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1]) + np.repeat(low - ends + n, n)
+            common = np.bincount(owners[at], minlength=len(items))
+            return common * 100 >= percent * (sizes + len(own) - common)
+
+        return linked
+
+    return prepare
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -132,34 +158,24 @@ def near_duplicates(
     kept is true. Other columns are ignored; an empty table gives no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    fields = "doc_id long, n_shingles long, set_key binary, keys array<long>, sketch array<long>"
-    sketches = cut(source.mapInArrow(_sketch(words, bins, rows), fields))
+    fields = "doc_id long, n_shingles long, set_key binary, keys array<long>"
+    sketches = cut(map_arrow(source, _sketch(words, bins, rows), fields))
     usable = sketches.where("set_key is not null and doc_id is not null")
-    same = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "keys", "sketch")).alias("g"))
-    groups = cut(same.select("set_key", F.col("g.doc_id").alias("node"), "g.n_shingles", "g.keys", "g.sketch"))
-
-    def possible(x: str, y: str) -> Column:
-        a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-        differing = F.lit(0)
-        for k in range(bins // 32):
-            bits = F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])
-            differing += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(LOWER_BITS))
-        alike = (F.least(a, b) < SKETCHED) | (differing <= int(bins * DIFFERENT))
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & alike
+    same = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("g"))
+    groups = cut(same.select("set_key", F.col("g.doc_id").alias("node"), "g.keys"))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        wanted = source.join(ids, source.doc_id == ids.node, "left_semi")
+        return map_arrow(wanted, _sets(words), "node long, data binary").where("octet_length(data) > 0")
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
-        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        wanted = source.join(ids, source.doc_id == ids.node, "left_semi")
-        sets = cut(wanted.mapInArrow(_sets(words), "node long, items array<long>").where("size(items) > 0"))
-        both = pairs.join(sets.toDF("b", "items_b"), "b").join(sets.toDF("a", "items_a"), "a")
-        common = F.size(F.array_intersect("items_a", "items_b"))
-        union = F.size("items_a") + F.size("items_b") - common
-        return both.where(common * 100 >= union * percent).select("a", "b")
+        sets = cut(sets_of(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
+        both = pairs.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a").select("a", "b", "x", "y")
+        return map_arrow(both, _alike(percent), "a long, b long")
 
-    labels = link_buckets(groups, verify, possible)
+    labels = link_buckets(groups.select("node", "keys"), verify, sets_of, _index(percent))
     found = groups.join(labels, "node").select("set_key", "component")
     named = usable.join(groups.select("set_key", "node"), "set_key").join(found, "set_key", "left")
     named = named.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))

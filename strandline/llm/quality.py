@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.lineage import map_arrow
 from strandline.llm.words import word_hashes
 
 #: Bounds of the samples the model is fitted on; everything else covers all rows.
@@ -179,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = drawn.groupBy("doc_id").agg(F.max("label").alias("label"), F.collect_set("role").alias("roles"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     wanted = source.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    x = wanted.mapInArrow(_described, "doc_id long, x array<float>").join(F.broadcast(chosen), "doc_id")
+    x = map_arrow(wanted, _described, "doc_id long, x array<float>").join(F.broadcast(chosen), "doc_id")
     sample = x.orderBy("doc_id").toPandas()
     share = marked.where("label in (0, 1)").agg(F.avg(F.col("label").cast("double"))).first()[0]
     if not len(sample) or not share:
@@ -198,7 +199,7 @@ def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text"
     names = [c for c in docs.columns if c != "score"]
     rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"))
     kind = rows.select("row").schema[0].dataType.simpleString()
-    scored = rows.mapInArrow(_scored(model), f"row {kind}, score double")
+    scored = map_arrow(rows, _scored(model), f"row {kind}, score double")
     return scored.select(*[F.col("row")[c].alias(c) for c in names], "score")
 
 
