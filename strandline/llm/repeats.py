@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.lineage import cut
+from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import mix
 
 #: Bytes of the grams that anchor a string.
@@ -19,7 +19,7 @@ GRAM = 64
 PERIOD = 32
 #: Bytes hashed at a time, and bytes of suffix buckets sorted at a time.
 SLICE = 1 << 19
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Different chunks of an anchor that are sorted in one task; an anchor with more takes hashed windows.
 SORTED = 8192
 #: Ids of documents that may be broadcast (16 bytes each).
@@ -316,7 +316,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     source = docs.select(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     )
-    grams = source.where(F.octet_length("text") >= length).mapInArrow(_grams(length), "key long, id long, grams array<long>")
+    long_ones = source.where(F.octet_length("text") >= length)
+    grams = map_arrow(long_ones, _grams(length), "key long, id long, grams array<long>")
     grams = grams.select("key", "id", F.explode("grams").alias("gram"))
     often = cut(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     wanted = cut(grams.join(often, "gram").groupBy("key", "id").agg(F.collect_set("gram").alias("wanted")))
@@ -327,7 +328,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         right = lists.withColumnRenamed("key", "k").withColumnRenamed("id", "i")
         return texts.join(right, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")))
 
-    chunks = cut(with_text(wanted).select("key", "id", "text", "wanted").mapInArrow(_chunks(length), _CHUNK))
+    chunks = cut(map_arrow(with_text(wanted).select("key", "id", "text", "wanted"), _chunks(length), _CHUNK))
     kinds = chunks.groupBy("gram", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "id", "first", "size", "lead")).alias("one")
     )
@@ -340,14 +341,14 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     def bytes_of(rows: DataFrame) -> DataFrame:
         lists = rows.groupBy("key", "id").agg(F.collect_list(entry).alias("entries"))
         chunk = "gram long, lead int, digest binary, bytes binary"
-        return with_text(lists).select("text", "entries").mapInArrow(_bytes_of, chunk)
+        return map_arrow(with_text(lists).select("text", "entries"), _bytes_of, chunk)
 
     pieces = bytes_of(chosen.where(F.col("kinds") <= SORTED))
     blocks = pieces.repartition("gram").sortWithinPartitions("gram")
-    spans = blocks.mapInArrow(_sorted_blocks(length), "digest binary, start int, stop int").unionByName(whole)
+    spans = map_arrow(blocks, _sorted_blocks(length), "digest binary, start int, stop int").unionByName(whole)
     hot = chosen.where(F.col("kinds") > SORTED)
     if not hot.isEmpty():
-        windows = bytes_of(hot).mapInArrow(_hashed_windows(length), "window binary, digest binary, at int")
+        windows = map_arrow(bytes_of(hot), _hashed_windows(length), "window binary, digest binary, at int")
         twice = cut(windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
         hit = windows.join(twice, "window").groupBy("digest").agg(F.min("at").alias("start"), (F.max("at") + length).alias("stop"))
         spans = spans.unionByName(hit)
@@ -383,4 +384,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         F.lit(0).cast("long").alias("n_spans"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("kept"),
     )
-    return touched.select("id", "text", "spans").mapInArrow(_cut_out, _RESULT).unionByName(clean).withColumnRenamed("id", id_col)
+    return map_arrow(touched.select("id", "text", "spans"), _cut_out, _RESULT).unionByName(clean).withColumnRenamed("id", id_col)
