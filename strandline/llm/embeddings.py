@@ -195,9 +195,9 @@ def near_vectors(
     rows = cut(map_arrow(source, _prepare, "vec_id long, same binary, data binary"))
     usable = rows.where("same is not null and vec_id is not null")
     groups = usable.groupBy("same").agg(
-        F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.min("data").alias("data")
+        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("data").alias("data")
     )
-    groups = cut(groups)
+    groups = cut(groups.withColumn("node", F.xxhash64("same")))
     data = groups.select("node", "data")
     nodes = cut(map_arrow(data, _keys(tables, hashes, probes, seed), "node long, keys array<long>"))
 
@@ -225,12 +225,13 @@ def near_vectors(
         .groupBy("node")
         .agg(F.sum("links").alias("links"))
     )
+    placed = groups.select("same", "node", "id", "copies").join(labels, "node", "left")
+    placed = cut(placed.withColumn("component", F.coalesce("component", "node")))
+    roots = cut(placed.groupBy("component").agg(F.min("id").alias("component_id")))
     found = cut(
-        groups.select("same", "node", "copies").join(counted, "node", "left").join(labels, "node", "left")
-    ).select(
-        "same",
-        (F.coalesce("links", "copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        placed.join(counted, "node", "left")
+        .join(roots, "component")
+        .select("same", (F.coalesce("links", "copies") - 1).alias("n_links"), "component_id")
     )
     linked = usable.select("vec_id", "same").join(found, "same").select("vec_id", "n_links", "component_id")
     alone = rows.where("same is null or vec_id is null").select(
