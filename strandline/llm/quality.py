@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = marked.where("label in (0, 1)").agg(F.avg(F.col("label").cast("double"))).first()[0]
     if not len(sample) or not share:
         return None
-    rows = np.array(sample["x"].tolist(), np.float64)
+    rows = np.stack(sample["x"].to_numpy()).astype(np.float64)
     role = {r: sample["roles"].map(lambda own, r=r: r in own).to_numpy() for r in "puc"}
     model = fit(rows[role["p"]], rows[role["u"]], float(share))
     return calibrate(model, rows[role["c"]], sample["label"].to_numpy()[role["c"]].astype(int))
