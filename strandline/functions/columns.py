@@ -237,11 +237,11 @@ def mean_pooled(hidden: Column, mask: Column) -> Column:
 
 
 def marked_region(sequence: Column) -> Column:
-    """Struct (start, end, raw) of a sequence with one bracketed part; an error without one."""
+    """Struct (start, end, raw) of a sequence with one bracketed part, as a half-open range from 0; an error without one."""
     open_, close = F.instr(sequence, "["), F.instr(sequence, "]")
     raw = F.regexp_replace(sequence, r"[\[\]]", "")
     made = F.struct((open_ - 1).alias("start"), (close - 2).alias("end"), raw.alias("raw"))
-    return F.when((open_ > 0) & (close > open_), made).otherwise(F.raise_error(F.lit("no [region] in the sequence")).cast("struct<start:int,end:int,raw:string>"))
+    return F.when((open_ > 0) & (close > open_ + 1), made).otherwise(F.raise_error(F.lit("no [region] in the sequence")).cast("struct<start:int,end:int,raw:string>"))
 
 
 def risk_band(v: Column) -> Column:

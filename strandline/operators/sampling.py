@@ -87,7 +87,7 @@ def scaffold_split(df: DataFrame, scaffold: str, sizes: tuple[float, float, floa
 
     kind = dict(df.dtypes)[scaffold]
     ranked = counts.withColumn("__k", F.row_number().over(Window.orderBy(*order)))
-    filled = ranked.groupBy(F.lit(1)).applyInPandas(lambda p: fill(p.sort_values("__k")), f"`{scaffold}` {kind}, split string")
+    filled = ranked.groupBy().applyInPandas(lambda p: fill(p.sort_values("__k")), f"`{scaffold}` {kind}, split string")
     return df.join(filled, scaffold)
 
 
