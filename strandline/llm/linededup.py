@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +17,52 @@ FACTOR, MODULUS = 31, 2147483647
 BROADCAST_HASHES = 1_000_000
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once; a plain column would be worked out at each use in a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _chunks(lines: Column) -> Column:
+    hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
+    zero = F.array(F.lit(0).cast("long"))
+    rolled = _let(
+        hashes,
+        lambda h: F.zip_with(F.concat(zero, F.slice(h, 1, F.size(h) - 1)), h, lambda before, own: before * FACTOR + own),
+    )
+    ends = _let(
+        rolled,
+        lambda r: F.filter(
+            F.sequence(F.lit(1), F.size(r)), lambda i: (F.get(r, i - 1) % MODULUS % LINES == 0) | (i == F.size(r))
+        ),
+    )
+    return _let(
+        ends,
+        lambda last: F.zip_with(
+            F.concat(F.array(F.lit(0)), F.slice(last, 1, F.size(last) - 1)),
+            last,
+            lambda before, end: F.struct((before + 1).alias("first"), end.alias("last")),
+        ),
+    )
+
+
 def line_chunks(text: Column) -> Column:
     """Chunks of a text: array of (first, last), line numbers from 1.
 
     A line ends a chunk if the rolling hash of it and the line before it is divisible by LINES, so
     boundaries depend on the content nearby and not on what was inserted further up.
     """
-    lines = F.split(text, "\n", -1)
-    hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-    rolled = F.zip_with(F.concat(F.array(F.lit(0).cast("long")), hashes), hashes, lambda before, own: before * FACTOR + own)
-    last = F.filter(
-        F.sequence(F.lit(1), F.size(lines)),
-        lambda i: (F.get(rolled, i - 1) % MODULUS % LINES == 0) | (i == F.size(lines)),
-    )
-    before = F.concat(F.array(F.lit(0)), F.slice(last, 1, F.size(last) - 1))
-    return F.zip_with(before, last, lambda before, end: F.struct((before + 1).alias("first"), end.alias("last")))
+    return _let(F.split(text, "\n", -1), _chunks)
+
+
+def _runs(text: Column) -> Column:
+    """Multi-line chunks of a text as (first, last, run)."""
+
+    def runs(lines: Column) -> Column:
+        many = F.filter(_chunks(lines), lambda c: c["last"] > c["first"])
+        joined = lambda c: F.array_join(F.slice(lines, c["first"], c["last"] - c["first"] + 1), "\n")
+        return F.transform(many, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), joined(c).alias("run")))
+
+    return _let(F.split(text, "\n", -1), runs)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -53,11 +86,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"),
     )
     texts = source.select("id", "key", "body").where("body is not null")
-    parts = texts.withColumn("lines", F.split("body", "\n", -1)).select(
-        "id", "key", "lines", F.explode(line_chunks(F.col("body"))).alias("chunk")
-    )
-    run = F.array_join(F.slice("lines", F.col("chunk.first"), F.col("chunk.last") - F.col("chunk.first") + 1), "\n")
-    many = parts.where("chunk.last > chunk.first").select("id", "key", "chunk.first", "chunk.last", run.alias("run"))
+    many = texts.select("id", "key", F.explode(_runs(F.col("body"))).alias("c")).select("id", "key", "c.*")
     occurrences = many.withColumn("mark", F.xxhash64("run"))
     repeated = cut(occurrences.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
     if repeated.count() <= BROADCAST_HASHES:
