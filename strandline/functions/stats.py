@@ -42,6 +42,39 @@ def normal_tail(z: Column) -> Column:
     return F.least(F.lit(1.0), t * F.exp(-x * x + poly))
 
 
+def _rank_sums(df: DataFrame, gene: str, value: str, group: Column) -> tuple[DataFrame, DataFrame]:
+    """Rank sum, count and sum of each (gene, group), and count, ties and sum of each gene.
+
+    Equal values are counted before they are ranked, so windows and joins see distinct values only.
+    """
+    clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    counts = clean.groupBy(F.col(gene).alias("__gene"), F.col(value).alias("__value"), group.alias("__group")).agg(F.count("*").alias("n"))
+    totals = counts.groupBy("__gene", "__value").agg(F.sum("n").alias("t"))
+    before = Window.partitionBy("__gene").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = totals.withColumn("rank", F.coalesce(F.sum("t").over(before), F.lit(0)) + (F.col("t") + 1) / 2)
+    own = counts.join(ranked, ["__gene", "__value"]).groupBy("__gene", "__group").agg(
+        F.sum(F.col("n") * F.col("rank")).alias("rank_sum_a"), F.sum("n").alias("n_a"), F.sum(F.col("n") * F.col("__value")).alias("sum_a")
+    )
+    t = F.col("t").cast("double")
+    whole = totals.groupBy("__gene").agg(F.sum("t").alias("n"), F.sum(t * (t * t - 1)).alias("ties"), F.sum(F.col("t") * F.col("__value")).alias("total"))
+    return own, whole
+
+
+def _tested(joined: DataFrame) -> DataFrame:
+    """Adds n_b, u, means, log2fc and p to rows of rank_sum_a, n_a, sum_a, n, ties and total."""
+    filled = joined.withColumns({"n_a": F.coalesce("n_a", F.lit(0)), "sum_a": F.coalesce(F.col("sum_a").cast("double"), F.lit(0.0))})
+    filled = filled.withColumn("n_b", F.col("n") - F.col("n_a"))
+    na, nb, n = F.col("n_a").cast("double"), F.col("n_b").cast("double"), F.col("n").cast("double")
+    u = F.col("rank_sum_a") - na * (na + 1) / 2
+    spread = F.sqrt(na * nb / 12 * ((n + 1) - F.col("ties") / F.greatest(n * (n - 1), F.lit(1.0))))
+    z = F.greatest(F.abs(u - na * nb / 2) - 0.5, F.lit(0.0)) / F.nullif(spread, F.lit(0.0))
+    empty = (F.col("n_a") == 0) | (F.col("n_b") == 0)
+    means = {"mean_a": F.col("sum_a") / F.nullif(na, F.lit(0.0)), "mean_b": (F.col("total") - F.col("sum_a")) / F.nullif(nb, F.lit(0.0))}
+    fold = F.log2((F.coalesce(means["mean_a"], F.lit(0.0)) + 1e-9) / (F.coalesce(means["mean_b"], F.lit(0.0)) + 1e-9))
+    p = F.when(empty, 1.0).otherwise(F.coalesce(normal_tail(z), F.lit(1.0)))
+    return filled.withColumns(means | {"u": u, "log2fc": F.when(empty, 0.0).otherwise(fold), "p": p})
+
+
 def mann_whitney(df: DataFrame, gene: str, value: str, in_a: Column) -> DataFrame:
     """Rank test of each gene between rows in and out of a group, NaN and null dropped.
 
@@ -49,31 +82,10 @@ def mann_whitney(df: DataFrame, gene: str, value: str, in_a: Column) -> DataFram
     two-sided p of the tie-corrected normal approximation with continuity; an empty side gives a
     fold change of 0 and p 1, and so does p if all values tie.
     """
-    clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).withColumn("__a", in_a)
-    tied = Window.partitionBy(gene, value)
-    ranked = clean.select(
-        gene, value, "__a", average_rank(F.col(value), gene).alias("__r"), F.count("*").over(tied).cast("double").alias("__t")
-    )
-    stats = ranked.groupBy(gene).agg(
-        F.sum(F.when(F.col("__a"), F.col("__r"))).alias("rank_sum_a"),
-        F.count_if(F.col("__a")).alias("n_a"),
-        F.count_if(~F.col("__a")).alias("n_b"),
-        F.avg(F.when(F.col("__a"), F.col(value))).alias("mean_a"),
-        F.avg(F.when(~F.col("__a"), F.col(value))).alias("mean_b"),
-        F.sum(F.col("__t") * F.col("__t") - 1).alias("__ties"),
-    )
-    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    n = na + nb
-    u = F.col("rank_sum_a") - na * (na + 1) / 2
-    spread = F.sqrt(na * nb / 12 * ((n + 1) - F.col("__ties") / F.greatest(n * (n - 1), F.lit(1.0))))
-    z = F.greatest(F.abs(u - na * nb / 2) - 0.5, F.lit(0.0)) / F.nullif(spread, F.lit(0.0))
-    empty = (F.col("n_a") == 0) | (F.col("n_b") == 0)
-    fold = F.log2((F.coalesce("mean_a", F.lit(0.0)) + 1e-9) / (F.coalesce("mean_b", F.lit(0.0)) + 1e-9))
-    return stats.select(
-        gene, "rank_sum_a", "n_a", "n_b", u.alias("u"), "mean_a", "mean_b",
-        F.when(empty, 0.0).otherwise(fold).alias("log2fc"),
-        F.when(empty, 1.0).otherwise(F.coalesce(normal_tail(z), F.lit(1.0))).alias("p"),
-    )
+    own, whole = _rank_sums(df, gene, value, F.coalesce(in_a, F.lit(False)))
+    joined = _tested(whole.join(own.where("__group").drop("__group"), "__gene", "left"))
+    columns = ["rank_sum_a", "n_a", "n_b", "u", "mean_a", "mean_b", "log2fc", "p"]
+    return joined.select(F.col("__gene").alias(gene), *columns)
 
 
 def differential_expression(df: DataFrame, gene: str, value: str, in_a: Column) -> DataFrame:
@@ -83,12 +95,11 @@ def differential_expression(df: DataFrame, gene: str, value: str, in_a: Column)
 
 
 def markers(df: DataFrame, cluster: str, gene: str, value: str) -> DataFrame:
-    """Each cluster against the rest, in one pass: each row is tested once for each cluster."""
-    names = df.select(F.col(cluster).alias("__c")).distinct()
-    spread = df.join(F.broadcast(names)).withColumn("__key", F.concat_ws("\t", "__c", gene))
-    tested = mann_whitney(spread, "__key", value, F.col(cluster) == F.col("__c"))
-    parts = F.split("__key", "\t")
-    return tested.select(parts[0].alias(cluster), parts[1].alias(gene), "log2fc", "p", "u").orderBy(cluster, "p", F.desc("log2fc"), gene)
+    """Each cluster against the rest; ranks over all rows serve every cluster, so rows are not repeated."""
+    own, whole = _rank_sums(df, gene, value, F.col(cluster))
+    tested = _tested(own.join(whole, "__gene"))
+    named = tested.select(F.col("__group").alias(cluster), F.col("__gene").alias(gene), "log2fc", "p", "u")
+    return named.orderBy(cluster, "p", F.desc("log2fc"), gene)
 
 
 def fisher_greater(df: DataFrame) -> DataFrame:
