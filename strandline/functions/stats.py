@@ -10,10 +10,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.relational import with_row_number
+
 
 def p_adjusted(df: DataFrame, p: str, tie: str, group: str | None = None) -> DataFrame:
-    """p * n / rank, at most 1, ranks by p within a group; there is no monotone step."""
-    own = Window.partitionBy(group) if group else Window.partitionBy()
+    """p * n / rank, at most 1, ranks by p within a group; there is no monotone step.
+
+    Without a group all rows are ranked by range partitions, and their number is one broadcast row.
+    """
+    if group is None:
+        ranked = with_row_number(df, p, tie, name="__rank").join(F.broadcast(df.agg(F.count("*").alias("__n"))))
+        adjusted = F.least(F.lit(1.0), F.col(p) * F.col("__n") / (F.col("__rank") + 1))
+        return ranked.withColumn("p_adj", adjusted).drop("__rank", "__n")
+    own = Window.partitionBy(group)
     rank = F.row_number().over(own.orderBy(p, tie))
     return df.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * F.count("*").over(own) / rank))
 

@@ -121,8 +121,8 @@ def vocabulary(df: DataFrame, token: str, min_freq: int = 1, max_size: int | Non
     counts = df.groupBy(token).agg(F.count("*").alias("freq")).where(F.col("freq") >= min_freq)
     if max_size is not None:
         counts = counts.orderBy(F.desc("freq"), token).limit(max(0, max_size - specials))
-    order = Window.orderBy(F.desc("freq"), F.col(token))
-    return counts.withColumn("index", F.row_number().over(order) + (specials - 1))
+    numbered = with_row_number(counts, F.desc("freq"), F.col(token), name="index")
+    return numbered.withColumn("index", (F.col("index") + specials).cast("int"))
 
 
 def label_proportions(df: DataFrame, label: str, excluded: Column | None = None, least_pct: float = 0.01) -> DataFrame:
@@ -198,3 +198,17 @@ def range_partitions(df: DataFrame, key: str, rows: int | None = None, per_task:
 def hash_shards(df: DataFrame, key: str, n: int) -> DataFrame:
     """A shard number for each row from its key."""
     return df.withColumn("shard", F.pmod(F.hash(key), F.lit(n)))
+
+
+def with_row_number(df: DataFrame, *order: str | Column, name: str = "row_no") -> DataFrame:
+    """Row numbers from 0 in order: local ranks of range partitions, shifted by the counts before.
+
+    No task sorts all rows; the counts are one row for each partition.
+    """
+    ranged = df.repartitionByRange(*[F.col(o) if isinstance(o, str) else o for o in order]).withColumn("__part", F.spark_partition_id())
+    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    local = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    joined = ranged.withColumn("__k", local).join(F.broadcast(shifts), "__part")
+    return joined.withColumn(name, (F.col("__k") + F.col("__shift")).cast("long")).drop("__part", "__k", "__shift")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.relational import with_row_number
+
 
 def draw_key(id_col: str, seed: int) -> Column:
     """A reproducible random order."""
@@ -96,6 +98,4 @@ def folds(df: DataFrame, order: str, per_file: int) -> DataFrame:
 
     Ranks are local to range partitions and shifted by the counts before, so no task sorts all rows.
     """
-    from strandline.operators.registry import with_row_number
-
     return with_row_number(df, order).withColumn("fold", F.floor(F.col("row_no") / per_file)).drop("row_no")

@@ -247,3 +247,11 @@ def test_relational_extras(spark):
     a = np.random.default_rng(0).normal(size=(6, 3))
     turn = np.array([[0, -1, 0], [1, 0, 0], [0, 0, 1.0]])
     assert stats.superposed_rmsd(a, a @ turn + 3) == pytest.approx(0, abs=1e-6) and math.isnan(stats.superposed_rmsd(a, a[:2]))
+
+
+def test_row_numbers_and_adjusted_p(spark):
+    df = spark.range(100).select(F.col("id"), ((F.col("id") * 37) % 101 / 200.0).alias("p")).repartition(5)
+    got = relational.with_row_number(df, F.desc("p"), "id").orderBy("row_no").collect()
+    assert [r.row_no for r in got] == list(range(100)) and [r.p for r in got] == sorted((r.p for r in got), reverse=True)
+    adjusted = sorted((r.p, r.p_adj) for r in stats.p_adjusted(df, "p", "id").collect())
+    assert all(a == pytest.approx(min(1.0, p * 100 / (k + 1))) for k, (p, a) in enumerate(adjusted))
