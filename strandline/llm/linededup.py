@@ -97,14 +97,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     removed = (
         again.join(keepers, "run")
         .where(~here.eqNullSafe(F.col("keeper")))
-        .distinct()
-        .groupBy("key", "id")
-        .agg(
-            F.collect_list(F.struct("first", "last")).alias("gone"),
-            F.sum(F.col("last") - F.col("first") + 1).alias("n_gone"),
-        )
+        .groupBy(F.col("key").alias("gone_key"), F.col("id").alias("gone_id"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     )
-    removed = cut(removed.select(F.col("key").alias("gone_key"), F.col("id").alias("gone_id"), "gone", "n_gone"))
+    lines_of = F.aggregate("gone", F.lit(0), lambda n, g: n + g["last"] - g["first"] + 1)
+    removed = cut(removed.withColumn("n_gone", lines_of))
     found = source.join(removed, (F.col("key") == F.col("gone_key")) & F.col("id").eqNullSafe(F.col("gone_id")), "left")
     lines = F.split("body", "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.exists("gone", lambda g: (g["first"] <= i + 1) & (i + 1 <= g["last"])))
