@@ -111,10 +111,10 @@ def search(query: DataFrame, corpus_vectors: DataFrame, records: DataFrame, top_
 
     Hits without a record are dropped; order is by similarity to two decimals, then by score.
     """
-    near = vectors.knn(corpus_vectors, query, min(10 * top_k, 1000), id_col=id_col)
+    near = vectors.knn(corpus_vectors, query, min(10 * top_k, 1000), id_col=id_col).select("query_id", "id")
     hits = near.join(records, near.id == records.seq_id).withColumnRenamed("sequence", "__target")
     asked = query.select(F.col(id_col).alias("query_id"), F.col("sequence").alias("__query"))
     pairs = hits.join(F.broadcast(asked.limit(1000)), "query_id")
     scored = aligned(pairs, "__query", "__target").where(F.col("coverage") >= min_coverage)
     order = [F.desc("similarity"), F.desc("score"), F.asc("seq_id")]
-    return scored.select("query_id", "seq_id", F.round("score", 6).alias("score"), "identity", "coverage", "similarity").orderBy(*order).limit(top_k)
+    return scored.select("query_id", "seq_id", "score", "identity", "coverage", "similarity").orderBy(*order).limit(top_k)

@@ -85,9 +85,9 @@ def first_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
 
 
-def latest_per_key(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
-    """The newest row of each key."""
-    order = Window.partitionBy(key).orderBy(F.desc(ts), F.desc(tie))
+def latest_per_key(df: DataFrame, key: str, ts: str, *ties: str) -> DataFrame:
+    """The newest row of each key; ties go to the greatest of further columns."""
+    order = Window.partitionBy(key).orderBy(F.desc(ts), *[F.desc(t) for t in ties])
     return df.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
 
 

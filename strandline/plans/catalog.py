@@ -408,11 +408,11 @@ def anti_join_rest(spark, sf_dir):
 
 @query("left_join_dedup", """
 SELECT o_orderkey, l_linenumber, l_quantity FROM (SELECT o_orderkey, l_linenumber, l_quantity,
-  row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC) AS rn FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey) WHERE rn = 1""")
+  row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_quantity DESC) AS rn FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey) WHERE rn = 1""")
 def left_join_dedup(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
     joined = table(spark, sf_dir, "orders").select("o_orderkey").join(line, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return R.latest_per_key(joined, "o_orderkey", "l_shipdate", "l_linenumber").select("o_orderkey", "l_linenumber", "l_quantity")
+    return R.latest_per_key(joined, "o_orderkey", "l_shipdate", "l_linenumber", "l_quantity").select("o_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("column_stats", """
