@@ -96,20 +96,22 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     The risk of the negatives is what the unlabelled rows have as negatives less the prior times what the
     positives have; where that falls below zero, the step goes back up its gradient instead.
     """
-    pool = np.concatenate([positive, unlabelled])
-    centre, spread = pool.mean(axis=0), pool.std(axis=0) + 1e-3
-    p, u = np.clip((positive - centre) / spread, -8, 8), np.clip((unlabelled - centre) / spread, -8, 8)
+    count = len(positive) + len(unlabelled)
+    centre = (positive.sum(axis=0, dtype=float) + unlabelled.sum(axis=0, dtype=float)) / count
+    spread = np.sqrt((((positive - centre) ** 2).sum(axis=0) + ((unlabelled - centre) ** 2).sum(axis=0)) / count) + 1e-3
+    p, u = (np.clip((side - centre) / spread, -8, 8).astype(np.float32) for side in (positive, unlabelled))
     w, b = np.zeros(p.shape[1]), 0.0
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        at_p, at_u = 1 / (1 + np.exp(-(p @ w + b))), 1 / (1 + np.exp(-(u @ w + b)))
+        now = w.astype(np.float32)
+        at_p, at_u = (1 / (1 + np.exp(-(side @ now + b).astype(float))) for side in (p, u))
         negative = -np.log(np.maximum(1 - at_u, 1e-12)).mean() + prior * np.log(np.maximum(1 - at_p, 1e-12)).mean()
-        of_u, of_p = at_u / len(u), at_p * prior / len(p)
+        of_u, of_p = (at_u / len(u)).astype(np.float32), (at_p * prior / len(p)).astype(np.float32)
         down_w, down_b = u.T @ of_u - p.T @ of_p, of_u.sum() - of_p.sum()
         if negative < 0:
             grad_w, grad_b = -down_w, -down_b
         else:
-            up = (at_p - 1) * prior / len(p)
+            up = ((at_p - 1) * prior / len(p)).astype(np.float32)
             grad_w, grad_b = down_w + p.T @ up, down_b + up.sum()
         grad = np.append(grad_w + decay * w, grad_b)
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
@@ -135,8 +137,8 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, steps: int = 60) -> Mo
 
 def _described(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for frame in frames:
-        rows = [features(x.as_buffer() if x.is_valid else b"").astype(np.float32) for x in frame.column(1)]
-        yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(rows, pa.list_(pa.float32()))], names=["doc_id", "x"])
+        rows = [features(x.as_buffer() if x.is_valid else b"").astype("<f4").tobytes() for x in frame.column(1)]
+        yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(rows, pa.binary())], names=["doc_id", "x"])
 
 
 def _scored(model: Model | None):
@@ -180,15 +182,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = drawn.groupBy("doc_id").agg(F.max("label").alias("label"), F.collect_set("role").alias("roles"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     wanted = source.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    x = map_arrow(wanted, _described, "doc_id long, x array<float>").join(F.broadcast(chosen), "doc_id")
-    sample = x.orderBy("doc_id").toPandas()
+    x = map_arrow(wanted, _described, "doc_id long, x binary").join(F.broadcast(chosen), "doc_id").orderBy("doc_id")
+    has = {role: F.array_contains("roles", role).alias(role) for role in "puc"}
+    sample = x.select("x", F.coalesce("label", F.lit(0)).cast("int").alias("label"), *has.values()).toArrow()
     share = marked.where("label in (0, 1)").agg(F.avg(F.col("label").cast("double"))).first()[0]
-    if not len(sample) or not share:
+    if not sample.num_rows or not share:
         return None
-    rows = np.stack(sample["x"].to_numpy()).astype(np.float64)
-    role = {r: sample["roles"].map(lambda own, r=r: r in own).to_numpy() for r in "puc"}
+    rows = np.frombuffer(b"".join(v.as_buffer() for v in sample["x"]), "<f4").reshape(-1, N_FEATURES)
+    role = {r: sample[r].to_numpy() for r in "puc"}
     model = fit(rows[role["p"]], rows[role["u"]], float(share))
-    return calibrate(model, rows[role["c"]], sample["label"].to_numpy()[role["c"]].astype(int))
+    return calibrate(model, rows[role["c"]], sample["label"].to_numpy()[role["c"]])
 
 
 def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
