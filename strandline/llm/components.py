@@ -196,8 +196,9 @@ def link_buckets(
     ids = cut(members.select("node").distinct())
     if ids.isEmpty():
         return labels
-    full = members.join(cut(fetch(ids)), "node").withColumn("outside", F.col("part") != F.col("largest"))
-    full = full.withColumn("weight", F.octet_length("data"))
+    data = cut(fetch(ids))
+    weights = data.select("node", F.octet_length("data").alias("weight"))
+    full = members.join(weights, "node").withColumn("outside", F.col("part") != F.col("largest"))
     heavy = F.ceil(F.sum("weight") / BLOCK_BYTES), F.ceil(F.sum(F.when(F.col("outside"), F.col("weight"))) / BLOCK_BYTES)
     blocks = cut(full.groupBy("bucket").agg(heavy[0].alias("inner"), heavy[1].alias("outer")))
     full = full.join(blocks, "bucket")
@@ -206,8 +207,9 @@ def link_buckets(
     inside = full.withColumn("i", F.explode(numbers["outer"])).withColumn("j", place["inner"]).withColumn("asks", F.lit(False))
     asking = full.where("outside").withColumn("j", F.explode(numbers["inner"])).withColumn("i", place["outer"])
     asking = asking.withColumn("asks", F.lit(True))
-    columns = ["bucket", "i", "j", "asks", "node", "part", "data"]
-    groups = inside.select(columns).unionByName(asking.select(columns)).repartition("bucket", "i", "j")
+    columns = ["bucket", "i", "j", "asks", "node", "part"]
+    sides = inside.select(columns).unionByName(asking.select(columns)).join(data, "node")
+    groups = sides.select(*columns, "data").repartition("bucket", "i", "j")
     ordered = groups.sortWithinPartitions("bucket", "i", "j")
     found = map_arrow(ordered, _compare(prepare), "a long, b long").distinct()
     return connected_components(links.unionByName(cut(found)))

@@ -176,9 +176,9 @@ def near_duplicates(
         return map_arrow(both, _alike(percent), "a long, b long")
 
     labels = link_buckets(groups.select("node", "keys"), verify, sets_of, _index(percent))
-    found = groups.join(labels, "node").select("set_key", "component")
-    named = usable.join(groups.select("set_key", "node"), "set_key").join(found, "set_key", "left")
-    named = named.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    placed = groups.select("set_key", "node").join(labels, "node", "left")
+    placed = cut(placed.select("set_key", F.coalesce("component", "node").alias("component_id")))
+    named = usable.select("doc_id", "n_shingles", "set_key").join(placed, "set_key").drop("set_key")
     alone = sketches.where("set_key is null or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
