@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import bpe, linededup, minhash, mixing, quality
-from strandline.llm.lineage import checkpoint_dir
+from strandline.llm.lineage import checkpoint_dir, cut
 from strandline.session import table
 
 #: The stages are a classifier, a similarity search and a tokenizer, which SQL cannot express.
@@ -36,8 +36,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest id of each group of near-duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.kept_id), "left_semi").select(_columns(spark, sf_dir))
+    gone = cut(minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct())
+    gone = F.broadcast(gone) if gone.count() <= minhash.BROADCAST_IDS else gone
+    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti").select(_columns(spark, sf_dir))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
