@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.stats import superposed_rmsd
 from strandline.operators import vectors
 
 # The BLOSUM62 matrix, rows and columns in this order of residues.
@@ -118,3 +119,37 @@ def search(query: DataFrame, corpus_vectors: DataFrame, records: DataFrame, top_
     scored = aligned(pairs, "__query", "__target").where(F.col("coverage") >= min_coverage)
     order = [F.desc("similarity"), F.desc("score"), F.asc("seq_id")]
     return scored.select("query_id", "seq_id", "score", "identity", "coverage", "similarity").orderBy(*order).limit(top_k)
+
+
+def common_places(a: str, b: str) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence: each match counts 1, mismatches and gaps nothing."""
+    x, y = np.frombuffer(a.encode("utf-32-le"), np.uint32), np.frombuffer(b.encode("utf-32-le"), np.uint32)
+    best = np.zeros((len(x) + 1, len(y) + 1), np.int32)
+    for i in range(len(x)):
+        best[i + 1, 1:] = np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + (y == x[i])))
+    i, j, found = len(x), len(y), []
+    while i and j:
+        if best[i, j] == best[i - 1, j]:
+            i -= 1
+        elif best[i, j] == best[i, j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            found.append((i, j))
+    return found[::-1]
+
+
+def best_chain(wanted: str, chains: dict[str, str]) -> tuple[str | None, list[tuple[int, int]]]:
+    """The chain with the longest common subsequence, and its matching places; ties go to the first name."""
+    places = {name: common_places(wanted, chains[name]) for name in sorted(chains)}
+    best = max(places, key=lambda n: len(places[n]), default=None)
+    return best, places.get(best, [])
+
+
+def overlapping_rmsd(wanted: str, atoms: np.ndarray, chains: dict[str, tuple[str, np.ndarray]]) -> float:
+    """RMSD of the backbone atoms at the matching places of the best chain; NaN without a match."""
+    name, places = best_chain(wanted, {k: v[0] for k, v in chains.items()})
+    if not places:
+        return math.nan
+    own, other = (list(side) for side in zip(*places))
+    return superposed_rmsd(atoms[own], chains[name][1][other])

@@ -101,3 +101,19 @@ def burden(kmers: Column, score: Callable[[Column], Column], strong: float = 0.5
     scores = F.transform(kmers, score)
     hits = F.size(F.filter(scores, lambda s: s >= strong))
     return F.when(F.size(kmers) > 0, hits / F.size(kmers)).otherwise(0.0), F.coalesce(F.array_max(scores), F.lit(0.0))
+
+
+def screen(df: DataFrame, value: str, factories: Mapping[str, Factory], enabled: Sequence[str] | None = None) -> DataFrame:
+    """Scores of the enabled predictors, with the names of those that failed in ``failed``."""
+    chosen = {n: f for n, f in factories.items() if enabled is None or n in enabled}
+    scored = score_axes(df, value, chosen)
+    failed = F.filter(F.array(*[F.when(F.col(f"{n}_error").isNotNull(), n) for n in chosen]), lambda x: x.isNotNull())
+    return scored.withColumn("failed", failed if chosen else F.array().cast("array<string>")).drop(*[f"{n}_error" for n in chosen])
+
+
+def chained(df: DataFrame, value: str, steps: Sequence[tuple[str, Factory, str]]) -> DataFrame:
+    """Each step's scorer reads the column of the step before: (name, factory, type) adds the column ``name``."""
+    for name, factory, kind in steps:
+        df = df.withColumn(name, batch_scorer(factory, kind)(value))
+        value = name
+    return df

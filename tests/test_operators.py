@@ -255,3 +255,21 @@ def test_row_numbers_and_adjusted_p(spark):
     assert [r.row_no for r in got] == list(range(100)) and [r.p for r in got] == sorted((r.p for r in got), reverse=True)
     adjusted = sorted((r.p, r.p_adj) for r in stats.p_adjusted(df, "p", "id").collect())
     assert all(a == pytest.approx(min(1.0, p * 100 / (k + 1))) for k, (p, a) in enumerate(adjusted))
+
+
+def test_chains(spark):
+    df = spark.createDataFrame([("MKT",), ("",)], "s string")
+    scorers = {"n": lambda: (lambda v: [len(x) for x in v]), "bad": lambda: (lambda v: [1 / len(x) for x in v]), "off": lambda: (lambda v: v)}
+    got = scoring.screen(df, "s", scorers, ["n", "bad"]).collect()
+    assert [(r.n, r.failed) for r in got] == [(3.0, []), (0.0, ["bad"])] and "off" not in got[0]
+    steps = [("up", lambda: (lambda v: [x + "!" for x in v]), "string"), ("size", lambda: (lambda v: [float(len(x)) for x in v]), "double")]
+    assert [r["size"] for r in scoring.chained(df, "s", steps).collect()] == [4.0, 1.0]
+
+
+def test_overlapping_backbones():
+    assert alignment.common_places("ABCD", "XBD") == [(1, 1), (3, 2)] and alignment.common_places("", "A") == []
+    atoms = np.arange(12.0).reshape(4, 3) ** 1.5
+    chains = {"A": ("ZZ", np.zeros((2, 3))), "B": ("BCD", atoms[1:] + 5)}
+    assert alignment.best_chain("ABCD", {k: v[0] for k, v in chains.items()})[0] == "B"
+    assert alignment.overlapping_rmsd("ABCD", atoms, chains) == pytest.approx(0, abs=1e-6)
+    assert math.isnan(alignment.overlapping_rmsd("A", atoms, {}))
