@@ -14,6 +14,8 @@ from strandline.llm.lineage import cut, map_arrow
 
 #: Edges that are merged in one task at most.
 SMALL = 500_000
+#: Nodes of a bucket from which random members of its largest component are tried first.
+LARGE = 16
 #: Data of a bucket's nodes that one task compares at a time, about.
 BLOCK_BYTES = 8 << 20
 
@@ -90,17 +92,17 @@ def connected_components(edges: DataFrame, small: int = SMALL) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the buckets whose nodes lie in several components: bucket, node, part, largest."""
+    """Rows of the buckets whose nodes lie in several components: bucket, node, part, largest, size."""
     placed = rows.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
     mixed = cut(
         placed.groupBy("bucket", "part")
         .agg(F.count("*").alias("n"))
         .groupBy("bucket")
-        .agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
+        .agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("size"))
         .where("parts > 1")
-        .select("bucket", F.col("top.part").alias("largest"))
+        .select("bucket", F.col("top.part").alias("largest"), "size")
     )
-    return cut(placed.join(mixed, "bucket").select("bucket", "node", "part", "largest"))
+    return cut(placed.join(mixed, "bucket").select("bucket", "node", "part", "largest", "size"))
 
 
 def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -157,8 +159,8 @@ def link_buckets(
     function from data to whether it is linked to each of them.
 
     The pairs of a bucket are never made as rows. First each node is compared with the smallest node of
-    its buckets. Then, ``tries`` times, in each bucket that is still mixed (its nodes lie in several
-    components) two random nodes of the largest component are compared with the nodes outside it.
+    its buckets. Then, ``tries`` times, in each bucket of LARGE nodes that is still mixed (its nodes lie in
+    several components) two random nodes of the largest component are compared with the nodes outside it.
     Last, each node that is still outside is compared with all nodes of other components in its buckets,
     in blocks of at most about BLOCK_BYTES a side. So each pair of a bucket is compared, or its nodes
     are connected. Returns (node, component) for linked nodes.
@@ -176,7 +178,7 @@ def link_buckets(
     labels = connected_components(links)
 
     for turn in range(tries):
-        members = _mixed(rows, labels)
+        members = _mixed(rows, labels).where(F.col("size") >= LARGE)
         draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
         picks = cut(
             members.where("part = largest")
