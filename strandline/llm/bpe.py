@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,7 +57,7 @@ class WordTable:
 
     def clear(self) -> None:
         self.rows: dict = {}
-        self.starts, self.counts, self.flat = [], [], []
+        self.starts, self.counts, self.flat = array("q"), array("q"), array("I")
 
     def _add(self, word, ids: list[int]) -> None:
         self.rows[word] = len(self.rows)
@@ -100,8 +101,8 @@ class WordTable:
             else:
                 letters = "".join([self.letters[b] for b in word.encode("utf-8", "surrogatepass")])
                 self._add(word, [t.id for t in self.model.tokenize(letters)])
-        starts, counts = np.array(self.starts, np.int64), np.array(self.counts, np.int64)
-        flat = np.array(self.flat, np.uint32)
+        starts, counts = np.array(self.starts), np.array(self.counts)
+        flat = np.array(self.flat)
         out = []
         for words in split:
             at = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
