@@ -29,8 +29,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove runs of lines that occur before, and bring n_chars up to date; every document stays."""
-    kept = linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Remove passages of two lines or more that occur before, and bring n_chars up to date; every document stays."""
+    kept = linededup.dedup_passages(docs).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(_columns(spark, sf_dir))
 
 

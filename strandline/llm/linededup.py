@@ -65,6 +65,17 @@ def _runs(text: Column) -> Column:
     return _let(F.split(text, "\n", -1), runs)
 
 
+def _pairs(text: Column) -> Column:
+    """Every two neighbouring lines of a text as (first, last, run)."""
+
+    def pairs(lines: Column) -> Column:
+        following = F.slice(lines, 2, F.size(lines))
+        joined = F.zip_with(F.slice(lines, 1, F.size(following)), following, lambda a, b: F.concat(a, F.lit("\n"), b))
+        return F.transform(joined, lambda run, i: F.struct((i + 1).alias("first"), (i + 2).alias("last"), run.alias("run")))
+
+    return _let(F.split(text, "\n", -1), pairs)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Remove multi-line chunks that occur before, anywhere in the table.
 
@@ -76,7 +87,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A null text stays null with no lines; an empty text has one empty line. Rows that repeat both id
     and text are one document and keep the same lines; a null id comes before all others. A document
     that loses all lines stays with an empty text; an empty table gives no rows.
+
+    Passages that lie across chunk boundaries stay in part or whole; dedup_passages finds these too.
+    """
+    return _without_repeats(docs, _runs, id_col, text_col)
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Remove the lines of passages of two lines or more that occur before, anywhere in the table.
+
+    A line is removed if it and a neighbour follow each other in the same way in a text of smaller id
+    or further up, so a repeated passage goes from its first line to its last, wherever it stands. Lines
+    of the first copy of two lines are not removed as part of a copy that overlaps it ("x" four times
+    leaves it twice). Every line stays somewhere in the table. A repeated line whose neighbours are
+    new stays. Columns, nulls, repeated rows and empty tables are as in dedup_lines.
     """
+    return _without_repeats(docs, _pairs, id_col, text_col)
+
+
+def _without_repeats(docs: DataFrame, parts: Callable[[Column], Column], id_col: str, text_col: str) -> DataFrame:
     names = list(docs.columns)
     own = [c for c in names if c not in ("n_lines", "n_removed")]
     source = docs.select(
@@ -86,7 +115,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"),
     )
     texts = source.select("id", "key", "body").where("body is not null")
-    many = texts.select("id", "key", F.explode(_runs(F.col("body"))).alias("c")).select("id", "key", "c.*")
+    many = texts.select("id", "key", F.explode(parts(F.col("body"))).alias("c")).select("id", "key", "c.*")
     occurrences = many.withColumn("mark", F.xxhash64("run"))
     repeated = cut(occurrences.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
     if repeated.count() <= BROADCAST_HASHES:
@@ -94,17 +123,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     again = cut(occurrences.join(repeated, "mark", "left_semi").select("id", "key", "first", "last", "run"))
     here = F.struct("id", "key", "first")
     keepers = cut(again.groupBy("run").agg(F.min(here).alias("keeper"), F.count("*").alias("n")).where("n > 1"))
+    behind = F.col("keeper.first") + F.col("last") - F.col("first") + 1
+    within = (F.col("key") == F.col("keeper.key")) & F.col("id").eqNullSafe(F.col("keeper.id"))
+    start = F.when(within, F.greatest("first", behind)).otherwise(F.col("first"))
     removed = (
         again.join(keepers, "run")
         .where(~here.eqNullSafe(F.col("keeper")))
         .groupBy(F.col("key").alias("gone_key"), F.col("id").alias("gone_id"))
-        .agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+        .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence(start, F.col("last"))))).alias("gone"))
     )
-    lines_of = F.aggregate("gone", F.lit(0), lambda n, g: n + g["last"] - g["first"] + 1)
-    removed = cut(removed.withColumn("n_gone", lines_of))
+    removed = cut(removed.withColumn("n_gone", F.size("gone")))
     found = source.join(removed, (F.col("key") == F.col("gone_key")) & F.col("id").eqNullSafe(F.col("gone_id")), "left")
     lines = F.split("body", "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.exists("gone", lambda g: (g["first"] <= i + 1) & (i + 1 <= g["last"])))
+    kept = _let(lines, lambda x: F.transform(F.array_except(F.sequence(F.lit(1), F.size(x)), "gone"), lambda i: F.get(x, i - 1)))
     rebuilt = found.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("body")).otherwise(F.array_join(kept, "\n")).alias("body"),
@@ -139,3 +170,23 @@ ORACLE = (
     + KEPT_SQL.format(docs="documents")
     + "SELECT doc_id, n_lines, n_removed, strlen(text)::BIGINT AS n_bytes, sha256(text) AS kept_sha256 FROM kept"
 )
+
+
+#: SQL for the rows of dedup_passages over documents.
+PASSAGES_ORACLE = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+    FROM documents WHERE text IS NOT NULL),
+  pairs AS (SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM lines),
+  firsts AS (
+    SELECT *, first_value(doc_id) OVER w AS first_id, first_value(i) OVER w AS first_i FROM pairs WHERE next IS NOT NULL
+    WINDOW w AS (PARTITION BY line, next ORDER BY doc_id, i)),
+  copies AS (SELECT * FROM firsts WHERE NOT (doc_id = first_id AND i = first_i)),
+  gone AS (
+    SELECT doc_id, i FROM copies WHERE NOT (doc_id = first_id AND i = first_i + 1) UNION SELECT doc_id, i + 1 FROM copies),
+  marked AS (SELECT lines.*, gone.i IS NOT NULL AS gone FROM lines LEFT JOIN gone USING (doc_id, i)),
+  kept AS (
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count(*) AS n_lines,
+      count(*) FILTER (gone) AS n_removed FROM marked GROUP BY 1)
+SELECT doc_id, n_lines, n_removed, strlen(text)::BIGINT AS n_bytes, sha256(text) AS kept_sha256 FROM kept
+"""

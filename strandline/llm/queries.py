@@ -73,9 +73,7 @@ def bpe_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_line_dedup", linededup.ORACLE)
-def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+def _kept_lines(kept: DataFrame) -> DataFrame:
     return kept.select(
         "doc_id",
         "n_lines",
@@ -85,6 +83,16 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_line_dedup", linededup.ORACLE)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_lines(linededup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+@query("op9_passage_dedup", linededup.PASSAGES_ORACLE)
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_lines(linededup.dedup_passages(table(spark, sf_dir, "documents")))
+
+
 @query("op10_mixing", mixing.ORACLE)
 def golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))

@@ -154,6 +154,20 @@ def test_line_dedup_keeps_first_copies(spark, docs):
     assert whole.count() == docs.count() and set(docs.columns) <= set(whole.columns)
 
 
+def test_short_repeated_passages_go_whole(spark):
+    rows, want = [], {}
+    for n in (2, 3, 4, 5, 8):
+        for k in range(6):
+            passage = [f"passage {n} {k} line {i}" for i in range(n)]
+            rows += [(100 * n + 2 * k, "\n".join([f"a {n} {k}", *passage, f"b {n} {k}"])), (100 * n + 2 * k + 1, "\n".join([f"c {n} {k}", *passage, f"d {n} {k}"]))]
+            want |= {100 * n + 2 * k: rows[-2][1], 100 * n + 2 * k + 1: f"c {n} {k}\nd {n} {k}"}
+    rows += [(1, "x\nx\nx\nx"), (2, "x\ny"), (3, None), (4, ""), (5, "p\nq"), (5, "p\nq"), (6, "p\nq"), (None, "z\nw"), (7, "z\nw\nv")]
+    want |= {1: "x\nx", 2: "x\ny", 3: None, 4: "", 5: "p\nq", 6: "", None: "z\nw", 7: "v"}
+    got = linededup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.text for r in got} == want
+    assert all(r.n_lines - r.n_removed == (len(r.text.split("\n")) if r.text else r.n_lines - r.n_removed) for r in got)
+
+
 def test_line_chunks_resist_shifts(spark):
     lines = [f"line {i} of many" for i in range(200)]
     df = spark.createDataFrame([("\n".join(lines),), ("\n".join(["new"] + lines),)], "text string")
