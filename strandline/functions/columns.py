@@ -205,11 +205,17 @@ def idf_weight(count: Column) -> Column:
     return 1 / F.log1p(F.greatest(F.lit(1), F.coalesce(count, F.lit(1))).cast("double"))
 
 
-def kmers(sequence: Column, k: int = 9) -> Column:
-    """All substrings of length k in order."""
-    n = F.length(sequence) - (k - 1)
-    at = F.when(n >= 1, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.substr(sequence, i, F.lit(k)))
+def kmers(sequence: Column, k: int = 9, block: int = 100) -> Column:
+    """All substrings of length k in order, cut from blocks so that long sequences take linear time."""
+
+    def within(text: Column) -> Column:
+        n = F.length(text) - (k - 1)
+        at = F.when(n >= 1, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.substr(text, i, F.lit(k)))
+
+    starts = F.sequence(F.lit(1), F.greatest(F.length(sequence), F.lit(1)), F.lit(block))
+    blocks = F.transform(starts, lambda i: F.substr(sequence, i, F.lit(block + k - 1)))
+    return F.flatten(F.transform(blocks, within))
 
 
 def truncated(sequence: Column, most: int = 1022) -> Column:

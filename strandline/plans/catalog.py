@@ -276,6 +276,21 @@ def enrichment_counts(spark, sf_dir):
     return J.overlap_counts(documents.where("source = 'src1'").select(words), terms, terms.select("gene"))
 
 
+_WHOLE_TERMS = """
+ t AS (SELECT DISTINCT lang AS term, unnest(string_split(text, ' ')) AS gene FROM documents),
+ q AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS gene FROM documents WHERE source = 'src1'),
+ bg AS (SELECT DISTINCT gene FROM t)"""
+
+
+@query("enrichment_counts_whole", f"""WITH {_WHOLE_TERMS}, s AS (SELECT term, count(*) AS n_term, count(q.gene) AS a FROM t LEFT JOIN q USING (gene) GROUP BY 1)
+SELECT term, a, (SELECT count(*) FROM q) - a AS b, n_term - a AS c, (SELECT count(*) FROM bg) - (SELECT count(*) FROM q) - n_term + a AS d FROM s WHERE a >= 1""")
+def enrichment_counts_whole(spark, sf_dir):
+    words = F.explode(F.split("text", " ")).alias("gene")
+    documents = table(spark, sf_dir, "documents")
+    terms = documents.select(F.col("lang").alias("term"), words).distinct()
+    return J.overlap_counts(documents.where("source = 'src1'").select(words), terms, terms.select("gene"))
+
+
 @query("zscore_groups", """
 WITH m AS (SELECT l_returnflag, l_linestatus, avg(l_extendedprice) AS mean FROM lineitem GROUP BY 1, 2)
 SELECT l_returnflag, l_linestatus, round((mean - avg(mean) OVER (PARTITION BY l_linestatus)) / stddev_samp(mean) OVER (PARTITION BY l_linestatus), 5) AS z FROM m""")
@@ -391,6 +406,14 @@ def kmers(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(k).cast("long").alias("n_kmers"), F.size(F.array_distinct(k)).cast("long").alias("n_distinct"))
 
 
+@query("kmers_whole", """
+SELECT doc_id, len(k) AS n_kmers, len(list_distinct(k)) AS n_distinct FROM (
+  SELECT doc_id, list_transform(range(1, greatest(0, length(text) - 8) + 1), lambda i: substr(text, i, 9)) AS k FROM documents)""")
+def kmers_whole(spark, sf_dir):
+    k = C.kmers(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(k).cast("long").alias("n_kmers"), F.size(F.array_distinct(k)).cast("long").alias("n_distinct"))
+
+
 @query("regex_flags", """
 SELECT p_partkey, p_name LIKE 'MT-%' AS mt, regexp_matches(p_name, '^(RPS|RPL)') AS ribo, regexp_matches(p_name, '^HB[^(P)]') AS hb,
   coalesce(nullif(trim(substr(trim(regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9_]', '_', 'g'), '_+', '_', 'g'), '_'), 1, 40)), ''), 'unnamed') AS name FROM part""")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import alignment, columns, stats
 from strandline.operators import dashboards, genomics, joins, optimize, registry, relational, sampling, scoring, singlecell
+from strandline.plans import catalog
 from strandline.sources import files, sinks
 
 VCF = """##fileformat=VCFv4.2
@@ -273,3 +274,21 @@ def test_overlapping_backbones():
     assert alignment.best_chain("ABCD", {k: v[0] for k, v in chains.items()})[0] == "B"
     assert alignment.overlapping_rmsd("ABCD", atoms, chains) == pytest.approx(0, abs=1e-6)
     assert math.isnan(alignment.overlapping_rmsd("A", atoms, {}))
+
+
+def test_kmers_and_words_of_whole_texts(spark, tmp_path):
+    long = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(2500)) + "é日🙂xyzw"
+    rows = [(1, long, "en", "src1"), (2, "", "en", "src2"), (3, "abcdefgh", "de", "src1"), (4, "abcdefghi " * 300 + "last", "de", "src2"), (5, "w " * 500 + "last", "fr", "src1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_kmers, r.n_distinct) for r in catalog.QUERIES["kmers_whole"](spark, str(tmp_path)).collect()}
+    cut = {i: [t[k : k + 9] for k in range(len(t) - 8)] for i, t, *_ in rows}
+    assert got == {i: (len(k), len(set(k))) for i, k in cut.items()}
+    assert df.where("doc_id = 1").select(columns.kmers(F.col("text"))).first()[0] == cut[1]
+    terms, asked = {}, set()
+    for _, t, lang, source in rows:
+        terms.setdefault(lang, set()).update(t.split(" "))
+        asked |= set(t.split(" ")) if source == "src1" else set()
+    every = set().union(*terms.values())
+    want = {x: (len(g & asked), len(asked - g), len(g - asked), len(every - g - asked)) for x, g in terms.items() if g & asked}
+    assert {r.term: (r.a, r.b, r.c, r.d) for r in catalog.QUERIES["enrichment_counts_whole"](spark, str(tmp_path)).collect()} == want
