@@ -238,6 +238,46 @@ def neighbour_overlap(spark, sf_dir):
     return J.set_overlaps(_knn(spark, sf_dir).groupBy("query_id").agg(F.collect_set("id").alias("ids")), "query_id", "ids")
 
 
+_WIDE_KNN = _KNN.replace("vec_id < 10)", "vec_id % 50 = 0)")
+
+
+def _wide_knn(spark, sf_dir):
+    corpus = table(spark, sf_dir, "embeddings")
+    return V.knn(corpus, corpus.where("vec_id % 50 = 0"), 10)
+
+
+@query("knn_cosine_whole", f"WITH {_WIDE_KNN} SELECT query_id, id, rank::INT AS rank, round(score, 6) AS score FROM k")
+def knn_cosine_whole(spark, sf_dir):
+    return _wide_knn(spark, sf_dir).withColumn("score", F.round("score", 6))
+
+
+@query("ordered_lookup_whole", f"""WITH {_WIDE_KNN} SELECT query_id, (rank - 1)::INT AS pos, id AS vec_id, label FROM k JOIN embeddings ON vec_id = id""")
+def ordered_lookup_whole(spark, sf_dir):
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"]).alias("ids")
+    return J.ordered_lookup(_wide_knn(spark, sf_dir).groupBy("query_id").agg(ids), "ids", table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+
+
+@query("idf_vote_whole", f"""WITH {_WIDE_KNN}, f AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
+SELECT query_id, label, round(sum(1 / ln(1 + greatest(1, n))), 6) AS weight FROM k JOIN embeddings ON vec_id = id JOIN f USING (label) GROUP BY 1, 2""")
+def idf_vote_whole(spark, sf_dir):
+    labels = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return V.label_votes(_wide_knn(spark, sf_dir), labels, "vec_id", "label", frequencies=R.group_counts(labels, "label")).withColumn("weight", F.round("weight", 6))
+
+
+@query("cluster_annotation_whole", f"""WITH {_WIDE_KNN}, v AS (SELECT query_id, label, count(*) AS n FROM k JOIN embeddings ON vec_id = id GROUP BY 1, 2),
+r AS (SELECT *, n / sum(n) OVER (PARTITION BY query_id) AS share, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, label) AS rn FROM v)
+SELECT query_id, label, round(share, 6) AS confidence FROM r WHERE rn = 1""")
+def cluster_annotation_whole(spark, sf_dir):
+    votes = V.label_votes(_wide_knn(spark, sf_dir), table(spark, sf_dir, "embeddings"), "vec_id", "label")
+    return V.annotate(votes, "label").select("query_id", "label", F.round("confidence", 6).alias("confidence"))
+
+
+@query("neighbour_overlap_whole", f"""WITH {_WIDE_KNN}
+SELECT x.query_id AS a, y.query_id AS b, count(*) AS overlap FROM k x JOIN k y ON x.id = y.id AND x.query_id < y.query_id GROUP BY 1, 2""")
+def neighbour_overlap_whole(spark, sf_dir):
+    return J.set_overlaps(_wide_knn(spark, sf_dir).groupBy("query_id").agg(F.collect_set("id").alias("ids")), "query_id", "ids")
+
+
 @query("padjust", """
 WITH p AS (SELECT event_type, event_id, abs(value) / (1 + (SELECT max(abs(value)) FROM events)) AS p FROM events)
 SELECT event_type, event_id, round(least(1.0, p * count(*) OVER (PARTITION BY event_type) / row_number() OVER (PARTITION BY event_type ORDER BY p, event_id)), 8) AS p_adj

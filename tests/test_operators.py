@@ -292,3 +292,18 @@ def test_kmers_and_words_of_whole_texts(spark, tmp_path):
     every = set().union(*terms.values())
     want = {x: (len(g & asked), len(asked - g), len(g - asked), len(every - g - asked)) for x, g in terms.items() if g & asked}
     assert {r.term: (r.a, r.b, r.c, r.d) for r in catalog.QUERIES["enrichment_counts_whole"](spark, str(tmp_path)).collect()} == want
+
+
+def test_every_fiftieth_vector_is_a_query(spark, tmp_path, monkeypatch):
+    vectors = np.random.default_rng(3).normal(size=(620, 8))
+    rows = [(i, v.tolist(), i % 4) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -2)
+    want = {q: np.argsort(-scores[q], kind="stable")[:10].tolist() for q in range(0, 620, 50)}
+    monkeypatch.setattr(catalog.V, "QUERY_ROWS", 5)
+    got = {}
+    for r in catalog.QUERIES["knn_cosine_whole"](spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    assert got == want
