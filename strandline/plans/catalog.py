@@ -94,6 +94,17 @@ def interval_bin_join(spark, sf_dir):
     return joined.select("l_orderkey", "l_linenumber", "p_partkey")
 
 
+@query("interval_bin_join_whole", """
+SELECT l.l_orderkey, l.l_linenumber, p.p_partkey FROM lineitem l JOIN part p
+ON l.l_returnflag = 'R' AND l.l_extendedprice BETWEEN p.p_retailprice * 50 AND p.p_retailprice * 50 + 20""")
+def interval_bin_join_whole(spark, sf_dir):
+    spans = table(spark, sf_dir, "part").select("p_partkey", F.lit("R").alias("flag"), (F.col("p_retailprice") * 50).alias("low"))
+    spans = spans.withColumn("high", F.col("low") + 20)
+    points = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    joined = J.point_in_interval_join(points, spans, ("l_returnflag", "flag"), "l_extendedprice", "low", "high", bin_width=500)
+    return joined.select("l_orderkey", "l_linenumber", "p_partkey")
+
+
 @query("group_top_scaffold", """
 SELECT p_brand, count(*) AS n, max(p_retailprice) AS best, min(p_name) AS example FROM part GROUP BY 1
 ORDER BY n DESC, best DESC, p_brand LIMIT 8""")

@@ -307,3 +307,13 @@ def test_every_fiftieth_vector_is_a_query(spark, tmp_path, monkeypatch):
     for r in catalog.QUERIES["knn_cosine_whole"](spark, str(tmp_path)).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.id)
     assert got == want
+
+
+def test_interval_join_of_whole_tables(spark, tmp_path):
+    part = [(i, 1000.0 + i % 40) for i in range(1, 60)]
+    line = [(i, 1 + i % 3, "RNA"[i % 3], 50000.0 + 7 * i) for i in range(300)]
+    spark.createDataFrame(part, "p_partkey long, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    schema = "l_orderkey long, l_linenumber int, l_returnflag string, l_extendedprice double"
+    spark.createDataFrame(line, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = sorted((o, n, p) for o, n, f, x in line for p, r in part if f == "R" and r * 50 <= x <= r * 50 + 20)
+    assert sorted(map(tuple, catalog.QUERIES["interval_bin_join_whole"](spark, str(tmp_path)).collect())) == want and want
