@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.stats import superposed_rmsd
@@ -108,17 +108,19 @@ def aligned(pairs: DataFrame, query: str, target: str, gap_open: int = 11, gap_e
 
 
 def search(query: DataFrame, corpus_vectors: DataFrame, records: DataFrame, top_k: int = 50, min_coverage: float = 0.0, id_col: str = "vec_id") -> DataFrame:
-    """Vector neighbours of one query, at most ten times as many as wanted, aligned and ranked.
+    """Vector neighbours of each query, at most ten times as many as wanted, aligned; the top_k of each query.
 
-    Hits without a record are dropped; order is by similarity to two decimals, then by score.
+    Hits without a record are dropped; order within a query is by similarity to two decimals, then by score.
     """
     near = vectors.knn(corpus_vectors, query, min(10 * top_k, 1000), id_col=id_col).select("query_id", "id")
     hits = near.join(records, near.id == records.seq_id).withColumnRenamed("sequence", "__target")
     asked = query.select(F.col(id_col).alias("query_id"), F.col("sequence").alias("__query"))
-    pairs = hits.join(F.broadcast(asked.limit(1000)), "query_id")
+    pairs = hits.join(asked, "query_id")
     scored = aligned(pairs, "__query", "__target").where(F.col("coverage") >= min_coverage)
     order = [F.desc("similarity"), F.desc("score"), F.asc("seq_id")]
-    return scored.select("query_id", "seq_id", "score", "identity", "coverage", "similarity").orderBy(*order).limit(top_k)
+    placed = scored.withColumn("__place", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    best = placed.where(F.col("__place") <= top_k).orderBy("query_id", "__place")
+    return best.select("query_id", "seq_id", "score", "identity", "coverage", "similarity")
 
 
 def common_places(a: str, b: str) -> list[tuple[int, int]]:

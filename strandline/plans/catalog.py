@@ -608,5 +608,5 @@ def sequence_search(spark, sf_dir):
     """Vector funnel, then local alignment and ranking, over documents that carry the vectors of the same id."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), F.upper(F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 60)).alias("sequence"))
     vectors = table(spark, sf_dir, "embeddings")
-    query_row = docs.join(vectors.where("vec_id = 1"), F.col("seq_id") == F.col("vec_id")).select(F.col("vec_id"), "embedding", "sequence")
-    return A.search(query_row, vectors, docs, top_k=20, min_coverage=0.0)
+    query_rows = docs.join(vectors.where("vec_id % 50 = 0"), F.col("seq_id") == F.col("vec_id")).select(F.col("vec_id"), "embedding", "sequence")
+    return A.search(query_rows, vectors, docs, top_k=20, min_coverage=0.0)

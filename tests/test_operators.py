@@ -317,3 +317,11 @@ def test_interval_join_of_whole_tables(spark, tmp_path):
     spark.createDataFrame(line, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
     want = sorted((o, n, p) for o, n, f, x in line for p, r in part if f == "R" and r * 50 <= x <= r * 50 + 20)
     assert sorted(map(tuple, catalog.QUERIES["interval_bin_join_whole"](spark, str(tmp_path)).collect())) == want and want
+
+
+def test_search_ranks_within_each_query(spark):
+    vectors = spark.createDataFrame([(i, [1.0, i / 1200]) for i in range(1200)], "vec_id long, embedding array<double>")
+    letters = spark.createDataFrame([(i, "ACDE" + "FGHIKLMNPQ"[i % 10]) for i in range(1200)], "seq_id long, sequence string")
+    asked = vectors.join(letters, vectors.vec_id == letters.seq_id).select("vec_id", "embedding", "sequence")
+    found = alignment.search(asked, vectors, letters, top_k=1).groupBy("query_id").count().collect()
+    assert len(found) == 1200 and {r["count"] for r in found} == {1}
