@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 from strandline.llm.lineage import cut, map_arrow
 
-#: A subtree is template if it is on at least so many distinct pages of its host, and on this share of them.
+#: A subtree is template if it is on at least so many distinct pages of its host, and on this share of them or on so many in all.
 PAGES = 3
 SHARE = 0.3
-#: The same within an article, where only parts that are no paragraphs can be template.
-ARTICLE_PAGES = 5
-ARTICLE_SHARE = 0.5
+MANY = 1000
+#: A paragraph, or a part of an article, is template only with so many different neighbours, on this share of the pages.
+NEIGHBOURS = 5
+NEIGHBOURS_SHARE = 0.5
 #: Template hashes that may be broadcast (8 bytes each, with hosts of up to 253 bytes).
 BROADCAST_HASHES = 1_000_000
 
-# Fixed values of HTML: kinds of elements, and words of classes, ids and roles for what is no article.
+# Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe template svg math xmp noembed noframes".split())
 INLINE = frozenset(
@@ -43,18 +44,18 @@ NO_TEXT = frozenset(
     "button select option textarea input dialog menu search noembed noframes".split()
 )
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
-NO_ARTICLE_WORDS = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
-    "consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice "
-    "notification pagination paywall popup promo promotion related respond share sharing sidebar signup skip social "
-    "sponsor sponsored subscribe subscription toolbar topbar widget".split()
+#: Whole names of a class, or whole ids, that say what is left out by contract; words within longer names say nothing.
+NO_ARTICLE_NAMES = frozenset(
+    "ad ads advert adverts advertisement comment comments footer menu nav navigation notice notices sidebar".split()
 )
+#: Elements at which implied end tags stop.
+SCOPE = frozenset("table td th button object template article main section div nav aside footer header".split())
+LISTS = frozenset("ul ol dl menu table article main nav body".split())
+INLINE_SCOPE = frozenset("article main td th".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:[!?])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=/?[a-zA-Z])[^<]*\Z",
-    re.S,
-)
+_QUOTED = re.compile(r"""["'>]""")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 
 
@@ -69,65 +70,113 @@ class Node:
 
 
 def _marks(name: str, attributes: str) -> frozenset:
-    words = set()
+    names = set()
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key == "role":
-            words.update(f"role={x}" for x in value.split())
+            names.update(f"role={x}" for x in value.split())
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            words.add("role=hidden")
+            names.add("role=hidden")
         else:
-            words.update(x for x in re.split(r"[^a-z0-9]+", value) if x)
-    return frozenset(words)
+            names.update(value.split())
+    return frozenset(names)
+
+
+def _tag_end(text: str, at: int, closed: dict[str, int]) -> int:
+    """Place of the '>' of the tag at a place, or -1. A quote after '=' hides what it encloses if it is closed.
+
+    ``closed`` keeps the last place of each kind of quote, so that none is looked for in vain twice.
+    """
+    while found := _QUOTED.search(text, at):
+        if found[0] == ">":
+            return found.start()
+        value = text[at : found.start()].rstrip().endswith("=")
+        at = found.end()
+        if value and found.start() < closed[found[0]]:
+            at = text.index(found[0], at) + 1
+    return -1
+
+
+class _Open:
+    """The open elements of a page, and where the last one of each name is."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], {root.name: [0]}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, names: frozenset | set) -> int:
+        return max((own[-1] for n in names if (own := self.places.get(n))), default=-1)
+
+    def close(self, names: frozenset | set, stop: frozenset | set) -> None:
+        """Close the innermost element of the names and all in it, unless an element to stop at is in between."""
+        depth = self.last(names)
+        if depth > 0 and depth > self.last(stop - names):
+            while len(self.stack) > depth:
+                self.places[self.stack.pop().name].pop()
 
 
 def parse(text: str) -> Node:
-    """A lenient tree of a page: end tags that are missing are implied, unknown ones ignored."""
+    """A lenient tree of a page: end tags that are missing are implied, unknown ones ignored.
+
+    One way through the text, in time in proportion to its length whatever is broken in it. A comment or a tag
+    that is never closed takes in the rest.
+    """
     root = Node("html")
-    stack, at, size = [root], 0, len(text)
-
-    def close(names: frozenset | set, stop: frozenset | set) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in names:
-                del stack[depth:]
-                return
-            if stack[depth].name in stop:
-                return
-
-    scope = frozenset({"table", "td", "th", "button", "object", "template", "article", "main", "section", "div", "nav", "aside", "footer", "header"})
-    lists = frozenset({"ul", "ol", "dl", "menu", "table", "article", "main", "nav", "body"})
+    opened, at, size = _Open(root), 0, len(text)
+    closed = {quote: text.rfind(quote) for quote in "\"'"}
+    ends: dict[str, re.Pattern] = {}
+
+    def add(child: str | Node) -> None:
+        opened.stack[-1].children.append(child)
+
     while at < size:
-        token = _TOKEN.search(text, at)
-        if token is None:
-            stack[-1].children.append(text[at:])
+        start = text.find("<", at)
+        if start < 0:
+            add(text[at:])
             break
-        if token.start() > at:
-            stack[-1].children.append(text[at : token.start()])
-        at = token.end()
-        if token[2] is None:
+        if start > at:
+            add(text[at:start])
+        following = text[start + 1 : start + 3]
+        if following[:1] in ("!", "?"):
+            mark = "-->" if text.startswith("<!--", start) else ">"
+            end = text.find(mark, start + (4 if mark == "-->" else 1))
+            at = size if end < 0 else end + len(mark)
+            continue
+        ending = following[:1] == "/"
+        name_match = _NAME.match(text, start + 1 + ending)
+        if name_match is None:
+            add("<")
+            at = start + 1
             continue
-        name = token[2].lower()
-        if token[1]:
+        end = _tag_end(text, name_match.end(), closed)
+        if end < 0:
+            break
+        at, name, attributes = end + 1, name_match[0].lower(), text[name_match.end() : end]
+        if ending:
             if name == "br":
-                stack[-1].children.append(Node("br"))
-            elif name != "html" and name != "body":
-                close({name}, frozenset() if name not in INLINE else frozenset({"article", "main", "td", "th"}))
+                add(Node("br"))
+            elif name not in ("html", "body"):
+                opened.close({name}, INLINE_SCOPE if name in INLINE else frozenset())
             continue
         if name in ("html", "body"):
             continue
         if name in CLOSES_P:
-            close({"p"}, scope)
+            opened.close({"p"}, SCOPE)
         if name in CLOSES_SAME:
-            close(CLOSES_SAME[name], lists - {name})
-        node = Node(name, token[3])
-        stack[-1].children.append(node)
-        if name in VOID or token[3].endswith("/") and name in RAW:
+            opened.close(CLOSES_SAME[name], LISTS - {name})
+        node = Node(name, attributes)
+        add(node)
+        if name in VOID or attributes.endswith("/") and name in RAW:
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?|\Z", re.I).search(text, at)
-            at = end.end()
+            if name not in ends:
+                ends[name] = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?|\Z", re.I)
+            at = ends[name].search(text, at).end()
         else:
-            stack.append(node)
+            opened.push(node)
     return root
 
 
@@ -139,7 +188,7 @@ def _no_article(node: Node, inside: bool) -> bool:
         if mark.startswith("role="):
             if mark[5:] in NO_ARTICLE_ROLES or mark == "role=hidden":
                 return True
-        elif mark in NO_ARTICLE_WORDS or (mark == "header" and not inside):
+        elif mark in NO_ARTICLE_NAMES or (mark == "header" and not inside):
             return True
     return False
 
@@ -171,28 +220,43 @@ def digest(root: Node) -> None:
         node.digest = (state.intdigest() or 1) if filled else 0
 
 
-def candidates(root: Node) -> set[tuple[int, bool]]:
-    """(hash, in an article) of each subtree that could be template."""
-    found, stack = set(), [(c, False) for c in root.children]
+def candidates(root: Node) -> set[tuple[int, int]]:
+    """(hash, neighbours) of each subtree that could be template; 0 where neighbours do not matter.
+
+    A copied article brings its paragraphs with their neighbours, a notice that a site puts into all its
+    articles has others each time. So what may be an article's own text, in an article or as a paragraph
+    anywhere, goes with a hash of the nearest siblings.
+    """
+    found, stack = set(), [(root, False)]
     while stack:
         node, inside = stack.pop()
-        if not isinstance(node, Node) or not node.digest or node.name == "head":
-            continue
-        own = inside or _is_main(node)
-        if not node.main and not (inside and (node.name in PARAGRAPHS or node.name in INLINE)):
-            found.add((node.digest, inside))
-        if not (inside and node.name in PARAGRAPHS):
-            stack.extend((c, own) for c in node.children)
+        own = [c.digest if isinstance(c, Node) else 2 for c in node.children if (c.digest if isinstance(c, Node) else c.strip())]
+        place = 0
+        for child in node.children:
+            if not isinstance(child, Node):
+                place += bool(child.strip())
+                continue
+            if not child.digest:
+                continue
+            place += 1
+            if child.name == "head":
+                continue
+            text = inside or child.name in PARAGRAPHS
+            if not child.main and not (text and child.name in INLINE):
+                around = (own[place - 2] if place > 1 else 1, own[place] if place < len(own) else 1)
+                found.add((child.digest, xxhash.xxh64(b"%d %d" % around).intdigest() or 1 if text else 0))
+            if child.name not in PARAGRAPHS:
+                stack.append((child, inside or _is_main(child)))
     return found
 
 
 def main_text(root: Node, template: set[int]) -> str:
-    """Blocks of the article, one to a line; of the whole page if it has no article."""
+    """Blocks of the article, one to a line; of the whole page if it has no article. Template subtrees are deleted first."""
     mains: list[Node] = []
     stack = [root]
     while stack:
         node = stack.pop()
-        if node is not root and not node.main and _no_article(node, False):
+        if node is not root and (node.digest in template or not node.main and _no_article(node, False)):
             continue
         if node is not root and node.name == "article" and not _no_article(node, True):
             mains.append(node)
@@ -202,6 +266,8 @@ def main_text(root: Node, template: set[int]) -> str:
         stack = [root]
         while stack:
             node = stack.pop()
+            if node is not root and node.digest in template:
+                continue
             if node is not root and _is_main(node) and not _no_article(node, True):
                 mains.append(node)
                 continue
@@ -238,20 +304,21 @@ def main_text(root: Node, template: set[int]) -> str:
 
 
 def _subtrees(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, html) -> (host, page, hash, around); around is 0 where pages are counted, else a hash of neighbours."""
     for frame in frames:
-        hosts, pages, hashes, inside = [], [], [], []
+        hosts, pages, hashes, around = [], [], [], []
         for host, page in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist()):
             root = parse(page or "")
             digest(root)
             own = xxhash.xxh64(str(root.digest).encode()).intdigest() - (1 << 63)
-            for value, within in [(0, False), *candidates(root)]:
+            for value, beside in [(0, 0), *candidates(root)]:
                 hosts.append(host)
-                pages.append(own)
+                pages.append(0 if beside else own)
                 hashes.append(value - (1 << 63) if value else 0)
-                inside.append(within)
+                around.append(beside - (1 << 63) if beside else 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(hashes, pa.int64()), pa.array(inside, pa.bool_())],
-            names=["host", "page", "hash", "inside"],
+            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(hashes, pa.int64()), pa.array(around, pa.int64())],
+            names=["host", "page", "hash", "around"],
         )
 
 
@@ -272,9 +339,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Returns the id, the url, ``text`` (blocks in page order, one to a line, white space within a
     block as one blank) and ``n_chars`` (code points). Subtrees are hashed and counted over the distinct
-    pages of each host; those on PAGES and SHARE of them are deleted, and so is what by its element,
-    role or class is no article. Paragraphs inside an article element are never counted as template, so
-    that copied articles stay whole. If there is an article (or main) element, text outside is left out.
+    pages of each host, and those on PAGES and on SHARE of them, or on MANY, are deleted. Paragraphs and parts of
+    articles are counted by their different neighbours instead (NEIGHBOURS, NEIGHBOURS_SHARE): a copied article is
+    no template. Then what by its element, role, or whole class name is no article goes, and if an article (or
+    main) element is left, the text outside.
 
     A null or empty page, and a page without text, gives an empty text. A null or unusual url has the
     host ''. Repeated rows repeat their result but count once as pages; other columns are ignored; an
@@ -282,12 +350,13 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), _HOST, 1), F.lit("")))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
-    found = map_arrow(source.select("host", "html"), _subtrees, "host string, page long, hash long, inside boolean")
-    counts = found.distinct().groupBy("host", "hash", "inside").agg(F.count("*").alias("n"))
+    found = map_arrow(source.select("host", "html"), _subtrees, "host string, page long, hash long, around long")
+    by_neighbours = (F.col("around") != 0).alias("beside")
+    counts = found.distinct().groupBy("host", "hash", by_neighbours).agg(F.count("*").alias("n"))
     counts = cut(counts.where((F.col("hash") == 0) | (F.col("n") >= PAGES)))
     totals = counts.where("hash = 0").select("host", F.col("n").alias("all"))
-    often = F.when(F.col("inside"), (F.col("n") >= ARTICLE_PAGES) & (F.col("n") >= F.col("all") * ARTICLE_SHARE)).otherwise(
-        F.col("n") >= F.col("all") * SHARE
+    often = F.when(F.col("beside"), (F.col("n") >= NEIGHBOURS) & (F.col("n") >= F.col("all") * NEIGHBOURS_SHARE)).otherwise(
+        (F.col("n") >= F.col("all") * SHARE) | (F.col("n") >= MANY)
     )
     template = counts.where("hash != 0").join(totals, "host").where(often)
     hosts = cut(template.groupBy("host").agg(F.collect_set("hash").alias("template")))
