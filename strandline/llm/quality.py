@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.lineage import map_arrow
+from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import word_hashes
 
 #: Bounds of the samples the model is fitted on; everything else covers all rows.
 POSITIVES = 8_000
 UNLABELLED = 12_000
-CALIBRATED = 8_000
+#: Shares of the positives above a score at which the class prior is read off, and positives below which it is not.
+SHARES = tuple(k / 100 for k in range(50, 99, 2))
+FEW, UNKNOWN = 20, 0.5
 #: Every FOLDS-th document, by the checksum of its id, is held out of learning.
 FOLDS = 5
 #: Score from which a document is predicted to be good.
@@ -74,20 +76,19 @@ def features(data: bytes) -> np.ndarray:
 
 @dataclass
 class Model:
-    """A linear score of standardised features, and the scale that makes it a probability."""
+    """A linear score of standardised features; its logistic function is the probability of label 1."""
 
     centre: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
     bias: float
-    slope: float = 1.0
-    shift: float = 0.0
+    prior: float
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.centre) / self.spread, -8, 8) @ self.weights + self.bias
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.margin(x), -500, 500)))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, decay: float = 1e-3) -> Model:
@@ -117,22 +118,29 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
         move = 0.02 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Model(centre, spread, w, float(b))
+    return Model(centre, spread, w, float(b), prior)
 
 
-def calibrate(model: Model, x: np.ndarray, y: np.ndarray, steps: int = 60) -> Model:
-    """Scale margins to the labels by one-dimensional logistic regression (Newton steps)."""
-    if len(set(y.tolist())) < 2:
-        return model
-    m = np.stack([model.margin(x), np.ones(len(x))], axis=1)
-    t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    c = np.array([1.0, 0.0])
-    for _ in range(steps):
-        s = 1 / (1 + np.exp(-np.clip(m @ c, -30, 30)))
-        hess = (m * (s * (1 - s))[:, None]).T @ m + 1e-3 * np.eye(2)
-        c = c - np.clip(np.linalg.solve(hess, m.T @ (s - t) + 1e-3 * (c - [1, 0])), -1, 1)
-    model.slope, model.shift = float(c[0]), float(c[1])
-    return model
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled rows.
+
+    If a share f of the positives scores above a cut, at least the prior times f of the unlabelled rows does, and
+    no more where hardly a negative scores so high. So the prior is the ratio of both shares at the cut with the
+    lowest upper bound (two standard errors), less two standard errors, as too high a prior takes negatives for
+    positives. One half of the rows makes the scores, the other is counted.
+    """
+    if len(positive) < FEW or len(unlabelled) < FEW:
+        return UNKNOWN
+    judge = fit(positive[::2], unlabelled[::2], UNKNOWN)
+    p, u = np.sort(judge.margin(positive[1::2])), np.sort(judge.margin(unlabelled[1::2]))
+    found = []
+    for share in SHARES:
+        cut_at = p[int(len(p) * (1 - share))]
+        of_p, of_u = (p >= cut_at).mean(), (u >= cut_at).mean()
+        if of_u > 0:
+            error = np.sqrt((1 - of_p) / (of_p * len(p)) + (1 - of_u) / (of_u * len(u)))
+            found.append((of_u / of_p * (1 + 2 * error), of_u / of_p * (1 - 2 * error)))
+    return float(np.clip(min(found, default=(UNKNOWN, UNKNOWN))[1], 0.01, 0.99))
 
 
 def _described(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,46 +172,42 @@ def held_out(id_col: str):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on bounded samples: the rows with the lowest hashes of their ids, none held out.
 
-    Trusted positives are rows labelled 1, unlabelled rows are drawn from all documents, and the
-    class prior is the share of label 1 among the labelled rows. The margin is then calibrated on a
-    sample of rows of either label. Without a label 1 there is no model.
+    Trusted positives are rows labelled 1 (the least label, where rows of ``labels`` repeat an id), unlabelled
+    rows are drawn from all documents whatever their labels. Label 0 is not used: the class prior is estimated
+    from how both samples score, and the risk gives probabilities without calibration. Of texts that
+    share an id the first in order counts. Without a label 1 there is no model.
     """
     known = labels.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(label_col).alias("label"))
     ids = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("doc_id")).distinct()
     marked = ids.join(known, "doc_id", "left").withColumn("order", F.xxhash64("doc_id"))
 
     def lowest(rows: DataFrame, n: int, role: str) -> DataFrame:
-        return rows.orderBy("order", "doc_id").limit(n).select("doc_id", "label", F.lit(role).alias("role"))
+        return rows.orderBy("order", "doc_id").limit(n).select("doc_id", F.lit(role).alias("role"))
 
-    positives = lowest(marked.where("label = 1"), POSITIVES, "p")
-    others = lowest(marked, UNLABELLED, "u")
-    both = lowest(marked.where("label in (0, 1)"), CALIBRATED, "c")
-    drawn = positives.unionByName(others).unionByName(both)
-    chosen = drawn.groupBy("doc_id").agg(F.max("label").alias("label"), F.collect_set("role").alias("roles"))
+    drawn = lowest(marked.where("label = 1"), POSITIVES, "p").unionByName(lowest(marked, UNLABELLED, "u"))
+    chosen = cut(drawn.groupBy("doc_id").agg(F.collect_set("role").alias("roles")))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = source.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    wanted = source.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     x = map_arrow(wanted, _described, "doc_id long, x binary").join(F.broadcast(chosen), "doc_id").orderBy("doc_id")
-    has = {role: F.array_contains("roles", role).alias(role) for role in "puc"}
-    sample = x.select("x", F.coalesce("label", F.lit(0)).cast("int").alias("label"), *has.values()).toArrow()
-    share = marked.where("label in (0, 1)").agg(F.avg(F.col("label").cast("double"))).first()[0]
-    if not sample.num_rows or not share:
+    sample = x.select("x", *[F.array_contains("roles", role).alias(role) for role in "pu"]).toArrow()
+    role = {r: sample[r].to_numpy() for r in "pu"}
+    if not role["p"].any():
         return None
     rows = np.frombuffer(b"".join(v.as_buffer() for v in sample["x"]), "<f4").reshape(-1, N_FEATURES)
-    role = {r: sample[r].to_numpy() for r in "puc"}
-    model = fit(rows[role["p"]], rows[role["u"]], float(share))
-    return calibrate(model, rows[role["c"]], sample["label"].to_numpy()[role["c"]])
+    positive, unlabelled = rows[role["p"]], rows[role["u"]]
+    return fit(positive, unlabelled, estimated_prior(positive, unlabelled))
 
 
-def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns of the input with ``score`` (replaced if there), the probability of label 1.
+def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
+    """All rows and columns of the input with the score (a column of its ``name`` is replaced), the probability of label 1.
 
     Scores depend on the whole text alone; null counts as empty. Without a model every score is 0.5.
     """
-    names = [c for c in docs.columns if c != "score"]
+    names = [c for c in docs.columns if c != name]
     rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"))
     kind = rows.select("row").schema[0].dataType.simpleString()
     scored = map_arrow(rows, _scored(model), f"row {kind}, score double")
-    return scored.select(*[F.col("row")[c].alias(c) for c in names], "score")
+    return scored.select(*[F.col("row")[c].alias(c) for c in names], F.col("score").alias(name))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
