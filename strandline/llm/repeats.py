@@ -20,8 +20,9 @@ PERIOD = 32
 #: Bytes hashed at a time, and bytes of suffix buckets sorted at a time.
 SLICE = 1 << 19
 BLOCK = 1 << 20
-#: Different chunks of an anchor that are sorted in one task; an anchor with more takes hashed windows.
+#: Different chunks of an anchor that are sorted in one task; more are first parted by further bytes, in steps of so many places.
 SORTED = 8192
+WIDTHS = (32, 8, 1)
 #: Ids of documents that may be broadcast (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -78,7 +79,8 @@ def _grams(length: int):
             hashes = []
             for x in frame.column(2):
                 rows = runs_of(_buffer(x), length)
-                hashes.append(rows[np.append(True, rows[1:, 0] != rows[:-1, 0]), 3] if len(rows) else rows[:, 3])
+                kinds, n = np.unique(rows[np.append(True, rows[1:, 0] != rows[:-1, 0])[: len(rows)], 3], return_counts=True)
+                hashes.append(np.concatenate([kinds, kinds[n > 1]]))
             yield pa.RecordBatch.from_arrays(
                 [frame.column(0), frame.column(1), pa.array(hashes, pa.list_(pa.int64()))], names=["key", "id", "grams"]
             )
@@ -90,25 +92,38 @@ def _flat(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in columns.values()], names=list(columns))
 
 
-_CHUNK = "key long, id long, first int, size int, gram long, lead int, digest binary"
+_CHUNK = "key long, id long, first int, size int, copies int, reach int, gram long, lead int, digest binary"
 
 
 def _chunks(length: int):
-    """Chunks (key, id, text, repeated grams) -> one row for each run whose anchor is repeated."""
+    """Chunks (key, id, text, repeated grams) -> one row for each run whose anchor is repeated.
+
+    Equal runs that follow each other, as in a text with a short period, are one row with their number and
+    the end of the last.
+    """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(9)]
             for key, own, text, wanted in zip(*[frame.column(i) for i in range(4)]):
                 data = _buffer(text)
                 rows = runs_of(data, length)
                 rows = rows[np.isin(rows[:, 3], wanted.values.to_numpy())]
+                before, stop, begun = None, -1, len(out[0])
                 for at, first, last, gram in rows.tolist():
                     size, lead = last - first + length, at - first
-                    digest = hashlib.blake2b(data[first : first + size], digest_size=16, salt=lead.to_bytes(4, "little")).digest()
-                    for column, value in zip(out, (key.as_py(), own.as_py(), first, size, gram, lead, digest)):
-                        column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+                    here = (gram, lead, bytes(data[first : first + size]))
+                    if here == before and first == stop + 1:
+                        out[4][-1] += 1
+                        out[5][-1] = first + size
+                    else:
+                        digest = hashlib.blake2b(here[2], digest_size=16, salt=lead.to_bytes(4, "little")).digest()
+                        for column, value in zip(out[2:], (first, size, 1, first + size, gram, lead, digest)):
+                            column.append(value)
+                    before, stop = here, last
+                out[0] += [key.as_py()] * (len(out[2]) - begun)
+                out[1] += [own.as_py()] * (len(out[2]) - begun)
+            kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int32(), pa.binary()]
             names = [f.split()[0] for f in _CHUNK.split(", ")]
             yield _flat({n: (v, k) for n, v, k in zip(names, out, kinds)})
 
@@ -119,13 +134,14 @@ def _bytes_of(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, wanted chunks) -> the bytes of each wanted chunk."""
     for frame in frames:
         out: dict[str, tuple[list, pa.DataType]] = {
-            "gram": ([], pa.int64()), "lead": ([], pa.int32()), "digest": ([], pa.binary()), "bytes": ([], pa.binary())
+            "gram": ([], pa.int64()), "lead": ([], pa.int32()), "digest": ([], pa.binary()), "at": ([], pa.int32()), "bytes": ([], pa.binary())
         }
         for text, wanted in zip(frame.column(0), frame.column(1).to_pylist()):
             data = _buffer(text)
             for w in wanted:
                 for name in ("gram", "lead", "digest"):
                     out[name][0].append(w[name])
+                out["at"][0].append(0)
                 out["bytes"][0].append(bytes(data[w["first"] : w["first"] + w["size"]]))
         yield _flat(out)
 
@@ -218,16 +234,16 @@ def repeated_strings(chunks: list[tuple[int, int, bytes]], length: int) -> list[
 
 
 def _sorted_blocks(length: int):
-    """Rows (gram, lead, digest, bytes), sorted by gram -> (digest, from, to) where strings repeat."""
+    """Rows (gram, lead, digest, at, bytes), sorted by gram -> (digest, from, to) where strings repeat."""
 
     def solve(rows: list) -> pa.RecordBatch:
-        found = repeated_strings([(g, lead, b) for g, lead, _, b in rows], length)
-        kept = [(row[2], span) for row, span in zip(rows, found) if span]
+        found = repeated_strings([(g, lead, b) for g, lead, _, _, b in rows], length)
+        kept = [(row[2], row[3], span) for row, span in zip(rows, found) if span]
         return _flat(
             {
-                "digest": ([d for d, _ in kept], pa.binary()),
-                "start": ([s[0] for _, s in kept], pa.int32()),
-                "stop": ([s[1] for _, s in kept], pa.int32()),
+                "digest": ([d for d, _, _ in kept], pa.binary()),
+                "start": ([at + s[0] for _, at, s in kept], pa.int32()),
+                "stop": ([at + s[1] for _, at, s in kept], pa.int32()),
             }
         )
 
@@ -235,37 +251,45 @@ def _sorted_blocks(length: int):
         rows: list = []
         size = 0
         for frame in frames:
-            for row in zip(*[frame.column(i).to_pylist() for i in range(4)]):
+            for row in zip(*[frame.column(i).to_pylist() for i in range(5)]):
                 if size >= BLOCK and row[0] != rows[-1][0]:
                     yield solve(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if rows:
             yield solve(rows)
 
     return run
 
 
-def _hashed_windows(length: int):
-    """Rows (gram, lead, digest, bytes) -> one row for each string: (window, digest, at)."""
+_PIECE = "gram long, lead int, digest binary, at int, bytes binary"
+
+
+def _parted(length: int, width: int):
+    """Pieces (gram, lead, digest, at, bytes) -> pieces of a new gram, for strings within ``width`` places of each other.
+
+    The strings of such a piece share more than the anchor: the bytes that all of them have before and after it.
+    The new gram hashes these too, so pieces with equal strings still have one gram.
+    """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in _PIECE.split(", ")]
         for frame in frames:
-            for gram, lead, digest, data in zip(*[frame.column(i).to_pylist() for i in range(4)]):
-                at = range(len(data) - length + 1)
+            out: list[list] = [[] for _ in names]
+            for gram, lead, digest, at, data in zip(*[frame.column(i).to_pylist() for i in range(5)]):
                 head = gram.to_bytes(8, "little", signed=True)
-                windows = [
-                    hashlib.blake2b(data[s : s + length], digest_size=16, key=head + (s - lead).to_bytes(4, "little", signed=True)).digest()
-                    for s in at
-                ]
-                yield _flat(
-                    {
-                        "window": (windows, pa.binary()),
-                        "digest": ([digest] * len(windows), pa.binary()),
-                        "at": (list(at), pa.int32()),
-                    }
-                )
+                least = max(0, lead - (len(data) - length))
+                for step in range(least // width, lead // width + 1):
+                    low, high = max(least, step * width), min(lead, step * width + width - 1)
+                    shared = data[lead - step * width : lead + max(GRAM, length - step * width - width + 1)]
+                    mark = hashlib.blake2b(head + step.to_bytes(4, "little") + shared, digest_size=8).digest()
+                    piece = data[lead - high : lead - low + length]
+                    row = (int.from_bytes(mark, "little", signed=True), high, digest, at + lead - high, piece)
+                    for column, value in zip(out, row):
+                        column.append(value)
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+            yield _flat({n: (v, k) for n, v, k in zip(names, out, kinds)})
 
     return run
 
@@ -310,7 +334,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     lowest hash, at the same place. So only strings whose anchor's gram occurs twice as an anchor are
     looked at. They lie in chunks, the bytes that the neighbouring strings of an anchor cover. A chunk
     with an equal one is repeated as a whole; chunks that differ but share an anchor go through the
-    suffix sort, one of each kind, in blocks of whole anchors.
+    suffix sort, one of each kind, in blocks of whole anchors. An anchor with more than SORTED kinds is parted
+    first, by ever more of the bytes around it, until the parts fit; parts of one place hold one string each, and
+    are only counted.
     """
     assert length % 8 == 0 and length >= GRAM + PERIOD
     source = docs.select(
@@ -330,7 +356,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     chunks = cut(map_arrow(with_text(wanted).select("key", "id", "text", "wanted"), _chunks(length), _CHUNK))
     kinds = chunks.groupBy("gram", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "id", "first", "size", "lead")).alias("one")
+        F.sum("copies").alias("n"), F.min(F.struct("key", "id", "first", "size", "lead")).alias("one")
     )
     kinds = cut(kinds)
     whole = kinds.where("n > 1").select("digest", F.lit(0).alias("start"), F.col("one.size").alias("stop"))
@@ -340,22 +366,30 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     def bytes_of(rows: DataFrame) -> DataFrame:
         lists = rows.groupBy("key", "id").agg(F.collect_list(entry).alias("entries"))
-        chunk = "gram long, lead int, digest binary, bytes binary"
-        return map_arrow(with_text(lists).select("text", "entries"), _bytes_of, chunk)
-
-    pieces = bytes_of(chosen.where(F.col("kinds") <= SORTED))
-    blocks = pieces.repartition("gram").sortWithinPartitions("gram")
-    spans = map_arrow(blocks, _sorted_blocks(length), "digest binary, start int, stop int").unionByName(whole)
-    hot = chosen.where(F.col("kinds") > SORTED)
-    if not hot.isEmpty():
-        windows = map_arrow(bytes_of(hot), _hashed_windows(length), "window binary, digest binary, at int")
-        twice = cut(windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
-        hit = windows.join(twice, "window").groupBy("digest").agg(F.min("at").alias("start"), (F.max("at") + length).alias("stop"))
-        spans = spans.unionByName(hit)
+        return map_arrow(with_text(lists).select("text", "entries"), _bytes_of, _PIECE)
+
+    def sorted_spans(pieces: DataFrame) -> DataFrame:
+        blocks = pieces.select("gram", "lead", "digest", "at", "bytes").repartition("gram").sortWithinPartitions("gram")
+        return map_arrow(blocks, _sorted_blocks(length), "digest binary, start int, stop int")
+
+    spans = whole.unionByName(sorted_spans(bytes_of(chosen.where(F.col("kinds") <= SORTED))))
+    large = chosen.where(F.col("kinds") > SORTED)
+    if not large.isEmpty():
+        pieces = bytes_of(large)
+        for width in WIDTHS:
+            pieces = cut(map_arrow(pieces, _parted(length, width), _PIECE))
+            if width == 1:
+                twice = pieces.groupBy("bytes").agg(F.count("*").alias("n")).where("n > 1").select("bytes")
+                last = pieces.join(twice, "bytes")
+                spans = spans.unionByName(last.select("digest", F.col("at").alias("start"), (F.col("at") + length).alias("stop")))
+                break
+            sizes = cut(pieces.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
+            parts = pieces.join(sizes, "gram")
+            spans = spans.unionByName(sorted_spans(parts.where(F.col("n") <= SORTED)))
+            pieces = parts.where(F.col("n") > SORTED).drop("n").select("gram", "lead", "digest", "at", "bytes")
     spans = cut(spans.groupBy("digest").agg(F.min("start").alias("start"), F.max("stop").alias("stop")))
-    return chunks.join(spans, "digest").select(
-        "key", "id", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop")
-    )
+    reach = F.when(F.col("copies") > 1, F.col("reach")).otherwise(F.col("first") + F.col("stop"))
+    return chunks.join(spans, "digest").select("key", "id", (F.col("first") + F.col("start")).alias("start"), reach.alias("stop"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
