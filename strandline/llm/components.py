@@ -146,17 +146,18 @@ def _compare(prepare: Callable[[list[bytes]], Callable[[bytes], np.ndarray]]):
 
 def link_buckets(
     nodes: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
     fetch: Callable[[DataFrame], DataFrame],
+    alike: Callable[[DataFrame], DataFrame],
     prepare: Callable[[list[bytes]], Callable[[bytes], np.ndarray]],
     tries: int = 2,
 ) -> DataFrame:
     """Components of the verified links between nodes that share a bucket.
 
     ``nodes`` has a long ``node`` of its own for each row and the array ``keys`` of its buckets
-    (longs). ``verify`` takes pairs (a, b) and returns those that are linked. ``fetch`` takes rows
-    (node) and returns (node, data binary); ``prepare`` takes the data of some nodes and returns a
-    function from data to whether it is linked to each of them.
+    (longs). ``fetch`` takes rows (node) and returns (node, data binary); it is called once, for the nodes that
+    share a bucket. ``alike`` takes pairs (a, b, x, y) with the data of both and returns the (a, b) that are
+    linked; ``prepare`` takes the data of some nodes and returns a function from data to whether it is
+    linked to each of them.
 
     The pairs of a bucket are never made as rows. First each node is compared with the smallest node of
     its buckets. Then, ``tries`` times, in each bucket of LARGE nodes that is still mixed (its nodes lie in
@@ -173,8 +174,14 @@ def link_buckets(
         .select("bucket", "centre")
     )
     rows = cut(buckets.join(shared, "bucket").select("bucket", "node", "centre"))
+    data = cut(fetch(rows.select("node").distinct()))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(data.toDF("b", "y"), "b").join(data.toDF("a", "x"), "a").select("a", "b", "x", "y")
+        return cut(alike(both))
+
     first = rows.where("node != centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a"))
-    links = cut(verify(first.select("a", "b")))
+    links = verify(first.select("a", "b"))
     labels = connected_components(links)
 
     for turn in range(tries):
@@ -188,17 +195,15 @@ def link_buckets(
         )
         outside = members.where("part != largest").select("bucket", "node").join(picks, "bucket")
         pairs = _ordered(outside.select("node", F.explode(F.array("low", "high")).alias("pick")), "node", "pick")
-        found = cut(verify(pairs))
+        found = verify(pairs)
         if found.isEmpty():
             break
         links = links.unionByName(found)
         labels = connected_components(links)
 
     members = _mixed(rows, labels)
-    ids = cut(members.select("node").distinct())
-    if ids.isEmpty():
+    if members.isEmpty():
         return labels
-    data = cut(fetch(ids))
     weights = data.select("node", F.octet_length("data").alias("weight"))
     full = members.join(weights, "node").withColumn("outside", F.col("part") != F.col("largest"))
     heavy = F.ceil(F.sum("weight") / BLOCK_BYTES), F.ceil(F.sum(F.when(F.col("outside"), F.col("weight"))) / BLOCK_BYTES)
@@ -215,3 +220,8 @@ def link_buckets(
     ordered = groups.sortWithinPartitions("bucket", "i", "j")
     found = map_arrow(ordered, _compare(prepare), "a long, b long").distinct()
     return connected_components(links.unionByName(cut(found)))
+
+
+def numbered(df: DataFrame, name: str = "node") -> DataFrame:
+    """The rows with a number of their own each, fixed by writing them: unlike hashes, no two rows get one."""
+    return cut(df.withColumn(name, F.monotonically_increasing_id()))

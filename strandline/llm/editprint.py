@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.components import link_buckets
+from strandline.llm.components import link_buckets, numbered
 from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import mix
 
@@ -25,8 +24,14 @@ KINDS, PERIOD = 256, 4096
 #: Characters walked at a time, and texts below which they are walked one by one.
 SLICE = 4 << 20
 FEW = 32
-#: Bands of the fingerprint, and digits in each.
-BANDS, DIGITS = 24, 6
+#: Near texts: a piece starts where the hash of GRAM characters is divisible by SPACING; PIECE characters are walked.
+GRAM, SPACING, PIECE = 4, 4, 24
+#: A band samples DIGITS of the first REACH coordinates of a piece; a text has the BANDS bands of lowest hash.
+DIGITS, REACH, BANDS = 12, 40, 64
+#: Edits for each character of the longer text up to which texts are near.
+SHARE = 0.08
+#: Characters of the grams that texts so near must share.
+SHARED = 5
 
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
@@ -277,41 +282,97 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_arrow(source, _printed, "doc_id long, fingerprint string").withColumnRenamed("doc_id", id_col)
 
 
-def band_keys(print_: str) -> list[int]:
-    """Buckets of a fingerprint: bit samples of it at its own level and the next."""
-    level, out = int(print_[:2]), []
-    for to in (level, level + 1):
-        digits = _digits_at(print_, to)
-        if len(digits) < DIGITS:
-            out.append(hash_key(f"{to}:short:{digits.tobytes().hex()}"))
-            continue
-        # Walks of a level fill at least two fifths of it, and of the level below at least a fifth.
-        usable = max(int(np.searchsorted(coordinates(to, to), (1 << to) // 5)), DIGITS)
-        for band in range(BANDS):
-            places = np.random.default_rng([to, band]).choice(usable, DIGITS, replace=False)
-            if places.max() < len(digits):
-                out.append(hash_key(f"{to}:{band}:{digits[places].tobytes().hex()}"))
-    return out
+@lru_cache(maxsize=1)
+def _band() -> np.ndarray:
+    """The sampled coordinates of a piece, in order."""
+    return np.sort(np.random.default_rng(411).choice(REACH, DIGITS, replace=False))
 
 
-def hash_key(value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little", signed=True)
+def band_keys(codes: np.ndarray) -> np.ndarray:
+    """Buckets of a text: bit samples of the embeddings of its pieces, the BANDS lowest.
+
+    A walk over a whole text is out of step from its first edits on, so that long texts would seldom agree.
+    Walks that start anew wherever the text itself says so agree again in the next piece.
+    """
+    padded = np.append(codes, np.zeros(PIECE + GRAM, np.uint32)).astype(np.uint64)
+    n = len(codes)
+    found = [np.zeros(0, np.uint64)]
+    for begin in range(0, n, SLICE // PIECE):
+        end = min(n, begin + SLICE // PIECE)
+        total = np.zeros(end - begin, np.uint64)
+        for k in range(GRAM):
+            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + padded[begin + k : end + k])
+        starts = begin + np.flatnonzero(total % np.uint64(SPACING) == 0)
+        if not begin:
+            starts = np.union1d(starts, [0])
+        pieces = padded[starts[:, None] + np.arange(PIECE)]
+        rows = _rows(pieces.astype(np.uint32))
+        steps, at = _steps(), np.zeros(len(starts), np.int64)
+        first = np.zeros((len(starts), PIECE), np.int64)
+        for k in range(PIECE):
+            first[:, k] = at
+            at = at + steps.take(rows[:, k] + (at & (PERIOD - 1)))
+        keys, every = np.zeros(len(starts), np.uint64), np.arange(len(starts))
+        for j in _band():
+            char = pieces[every, (first <= j).sum(axis=1) - 1]
+            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + char)
+        found.append(np.unique(keys)[:BANDS])
+    return np.unique(np.concatenate(found))[:BANDS].view(np.int64)
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Edit distance of two arrays of code points, or most + 1 if it is greater."""
+    """Edit distance of two arrays of code points, or most + 1 if it is greater.
+
+    What both begin and end with is left out; of the rest only places at most ``most`` off the diagonal are looked at.
+    """
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > most:
         return most + 1
-    row = np.arange(len(b) + 1)
-    ramp = np.arange(len(b) + 1)
+    differ = np.flatnonzero(a != b[: len(a)])
+    begin = int(differ[0]) if len(differ) else len(a)
+    a, b = a[begin:], b[begin:]
+    differ = np.flatnonzero(a[::-1] != b[len(b) - len(a) :][::-1])
+    end = int(differ[0]) if len(differ) else len(a)
+    a, b = a[: len(a) - end], b[: len(b) - end]
+    if not len(a):
+        return min(len(b), most + 1)
+    far = most + 1
+    low, row = 0, np.arange(min(len(b), most) + 1)
     for i, c in enumerate(a, 1):
-        best = np.append(i, np.minimum(row[1:] + 1, row[:-1] + (b != c)))
-        row = np.minimum.accumulate(best - ramp) + ramp
-        if row.min() > most:
-            return most + 1
-    return min(int(row[-1]), most + 1)
+        start, stop = max(0, i - most), min(len(b), i + most)
+        width = stop - start + 1
+        above = np.full(width + 1, far)  # the row before, at start - 1 to stop
+        shift = low - (start - 1)
+        above[max(0, shift) : shift + len(row)] = row[max(0, -shift) : max(0, -shift) + width + 1 - max(0, shift)]
+        best = above[1:] + 1
+        letters = b[max(start, 1) - 1 : stop]
+        best[width - len(letters) :] = np.minimum(best[width - len(letters) :], above[width - len(letters) : -1] + (letters != c))
+        if start == 0:
+            best[0] = i
+        ramp = np.arange(width)
+        row, low = np.minimum(np.minimum.accumulate(best - ramp) + ramp, far), start
+        if row.min() >= far:
+            return far
+    return min(int(row[-1]), far)
+
+
+def _grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different grams of SHARED characters, as sorted hashes, and how often each is there."""
+    n = max(0, len(codes) - SHARED + 1)
+    total = np.zeros(n, np.uint64)
+    for k in range(SHARED):
+        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + codes[k : n + k].astype(np.uint64))
+    return np.unique(total, return_counts=True)
+
+
+def _may_be_near(x: tuple, y: tuple, longer: int, most: int) -> bool:
+    """An edit changes SHARED grams at most, so texts up to ``most`` edits apart share all others."""
+    needed = longer - SHARED + 1 - most * SHARED
+    if needed <= 0:
+        return True
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    return int(np.minimum(x[1][i], y[1][j]).sum()) >= needed
 
 
 def _nearby(share: float):
@@ -319,48 +380,78 @@ def _nearby(share: float):
 
     def prepare(data: list[bytes]):
         texts = [codes_of(x.decode()) for x in data]
+        grams = [_grams(x) for x in texts]
 
-        def linked(one: bytes) -> np.ndarray:
+        def near(one: bytes) -> np.ndarray:
             own = codes_of(one.decode())
-            mosts = [math.floor(max(len(own), len(x)) * share) for x in texts]
-            return np.array([edit_distance(own, x, most) <= most for x, most in zip(texts, mosts)])
+            mine, out = _grams(own), np.zeros(len(texts), bool)
+            for k, (text, its) in enumerate(zip(texts, grams)):
+                longer = max(len(own), len(text))
+                most = int(longer * share)
+                if abs(len(own) - len(text)) <= most and _may_be_near(mine, its, longer, most):
+                    out[k] = edit_distance(own, text, most) <= most
+            return out
 
-        return linked
+        return near
 
     return prepare
 
 
-def near_texts(docs: DataFrame, share: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _promising(share: float):
+    """Keep the pairs (a, b, x, y) of texts that share enough grams."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            kept = []
+            for x, y in zip(frame.column(2), frame.column(3)):
+                x, y = codes_of(x.as_py().decode()), codes_of(y.as_py().decode())
+                longer = max(len(x), len(y))
+                most = int(longer * share)
+                kept.append(abs(len(x) - len(y)) <= most and _may_be_near(_grams(x), _grams(y), longer, most))
+            yield frame.filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def _banded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for frame in frames:
+        keys = [band_keys(codes_of(x.as_py())) for x in frame.column(1)]
+        yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"])
+
+
+def near_texts(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents that are an edit distance of at most ``share`` of the longer text apart.
 
-    Candidates agree in a bit-sampled band of their fingerprints and are verified by their true
+    Candidates agree in a bit-sampled band of the embedding of a piece and are verified by their true
     edit distance, of one document for each distinct text. Returns the id and ``component_id``
-    (the smallest id reachable). Null and empty texts stand alone; a null id gives a null
-    component_id; repeated rows repeat their result.
+    (the smallest id reachable). Rows that repeat an id with another text are documents of their own. Null
+    and empty texts stand alone; a null id gives a null component_id; equal rows repeat their result; an
+    empty table gives no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     source = source.withColumn("same", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     usable = source.where("text is not null and text != '' and doc_id is not null")
-    groups = cut(usable.groupBy("same").agg(F.min("doc_id").alias("node")))
-    texts = cut(usable.join(groups, "same").where("doc_id = node").dropDuplicates(["node", "same"]).select("node", "text"))
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys_of(prints: pd.Series) -> pd.Series:
-        return prints.map(band_keys)
-
-    nodes = fingerprints(texts, "node").select("node", keys_of("fingerprint").alias("keys"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-        most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(share)).cast("int")
-        close = F.abs(F.length("x") - F.length("y")) <= most
-        return both.where(close & (F.levenshtein("x", "y") <= most)).select("a", "b")
+    groups = numbered(usable.groupBy("same").agg(F.min("doc_id").alias("id")))
+    reps = groups.select(F.col("same").alias("key"), "id", "node")
+    one = usable.join(reps, (F.col("same") == F.col("key")) & (F.col("doc_id") == F.col("id")))
+    texts = cut(one.select("node", "text").dropDuplicates(["node"]))
+    nodes = cut(map_arrow(texts, _banded, "node long, keys array<long>"))
 
     def fetch(ids: DataFrame) -> DataFrame:
         return texts.join(ids, "node", "left_semi").select("node", F.col("text").cast("binary").alias("data"))
 
-    labels = link_buckets(cut(nodes), verify, fetch, _nearby(share))
-    found = source.join(groups, "same", "left").join(labels, "node", "left")
-    alone = F.col("text").isNull() | (F.col("text") == "") | F.col("doc_id").isNull()
-    component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
-    return found.select(F.col("doc_id").alias(id_col), component.alias("component_id"))
+    def alike(both: DataFrame) -> DataFrame:
+        hopeful = map_arrow(both, _promising(share), "a long, b long, x binary, y binary")
+        pairs = hopeful.select("a", "b", F.col("x").cast("string").alias("x"), F.col("y").cast("string").alias("y"))
+        pairs = pairs.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(share)).cast("int"))
+        close = (F.abs(F.length("x") - F.length("y")) <= F.col("most")) & (F.expr("levenshtein(x, y, most)") >= 0)
+        return pairs.where(close).select("a", "b")
+
+    labels = link_buckets(nodes, fetch, alike, _nearby(share))
+    placed = groups.select("same", "node", "id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = cut(placed)
+    heads = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    placed = placed.join(heads, "component").select("same", "component_id")
+    named = usable.select("doc_id", "same").join(placed, "same").select(F.col("doc_id").alias(id_col), "component_id")
+    alone = source.where("text is null or text = '' or doc_id is null")
+    return named.unionByName(alone.select(F.col("doc_id").alias(id_col), F.col("doc_id").alias("component_id")))

@@ -22,11 +22,22 @@ def checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read from the shared checkpoint folder from now on."""
+    """The same rows, read from the shared checkpoint folder from now on.
+
+    Spark deletes the files once nothing refers to the rows, if spark.cleaner.referenceTracking.cleanCheckpoints
+    is true when the session starts (session.SETTINGS has it); else they stay until the folder is emptied.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that Spark wrote, in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: What one Arrow batch sent to Python may hold, as texts can be long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 

@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.components import link_buckets
+from strandline.llm.components import link_buckets, numbered
 from strandline.llm.lineage import cut, map_arrow
 from strandline.llm.words import batches_of, mix, shingles
 
-#: Documents that take part in a comparison may be broadcast up to this many ids (16 bytes each).
-BROADCAST_IDS = 1_000_000
+#: Documents that take part in a comparison may be broadcast up to this many rows (two numbers and a key of 16 bytes each).
+BROADCAST_IDS = 500_000
 
 
 def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
@@ -53,10 +53,14 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+def _key(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def _sketch(words: int, bins: int, rows: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            ids, texts = frame.column(0), frame.column(1)
+            ids, marks, texts = frame.column(0), frame.column(1), frame.column(2)
             for start, hashed in batches_of(texts):
                 sets = [shingles(h, words) for h in hashed]
                 some = [i for i, s in enumerate(sets) if len(s)]
@@ -65,29 +69,38 @@ def _sketch(words: int, bins: int, rows: int):
                 if some:
                     signature = signatures([sets[i] for i in some], bins)
                     for i, band in zip(some, band_keys(signature, rows)):
-                        keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
+                        keys[i] = _key(sets[i].tobytes())
                         bands[i] = band
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, len(sets)),
+                        marks.slice(start, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "keys"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_key", "keys"],
                 )
 
     return run
 
 
 def _sets(words: int):
+    """(node, set_key, text) -> (node, data) where the text has the wanted set; a node at most once in a task."""
+
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for frame in frames:
-            for start, hashed in batches_of(frame.column(1)):
-                sets = [shingles(h, words).tobytes() for h in hashed]
-                yield pa.RecordBatch.from_arrays(
-                    [frame.column(0).slice(start, len(sets)), pa.array(sets, pa.binary())], names=["node", "data"]
-                )
+            for start, hashed in batches_of(frame.column(2)):
+                nodes, data = [], []
+                for k, h in enumerate(hashed):
+                    node = frame.column(0)[start + k].as_py()
+                    own = shingles(h, words).tobytes()
+                    if node not in seen and _key(own) == frame.column(1)[start + k].as_py():
+                        seen.add(node)
+                        nodes.append(node)
+                        data.append(own)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(data, pa.binary())], names=["node", "data"])
 
     return run
 
@@ -149,41 +162,47 @@ def near_duplicates(
     """Group documents whose word shingles have a Jaccard similarity of ``percent`` or more.
 
     Returns one row for each input row: the id, ``n_shingles``, ``component_id`` (the smallest id
-    reachable over links, itself included) and ``kept`` (id equals component_id). Candidates share one
-    of ``bins / rows`` bands; links are confirmed on full shingle sets, of one document for each
+    reachable over links, itself included) and ``kept`` (id equals component_id); then ``text_hash``
+    (xxhash64 of the text) and ``stays``: true for the one (id, text hash) that stands for its group. Candidates
+    share one of ``bins / rows`` bands; links are confirmed on full shingle sets, of one document for each
     distinct set. With 32 bands of 4, a pair at the threshold is missed with probability 5e-6.
 
-    A null or empty text has no shingles and stands alone. Rows that repeat an id get that id's
-    component of their own text. A row with a null id is in no group: its component_id is null and
-    kept is true. Other columns are ignored; an empty table gives no rows.
+    A null or empty text has no shingles, stands alone and stays. Rows that repeat an id with another text
+    are documents of their own: each gets the component of its own text. Equal rows repeat their
+    result. A row with a null id is in no group: its component_id is null, kept and stays are true. Other
+    columns are ignored; an empty table gives no rows.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    fields = "doc_id long, n_shingles long, set_key binary, keys array<long>"
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+    )
+    fields = "doc_id long, text_hash long, n_shingles long, set_key binary, keys array<long>"
     sketches = cut(map_arrow(source, _sketch(words, bins, rows), fields))
     usable = sketches.where("set_key is not null and doc_id is not null")
-    same = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("g"))
-    groups = cut(same.select("set_key", F.col("g.doc_id").alias("node"), "g.keys"))
+    same = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash", "keys")).alias("g"))
+    groups = numbered(same.select("set_key", F.col("g.doc_id").alias("id"), "g.text_hash", "g.keys"))
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        wanted = source.join(ids, source.doc_id == ids.node, "left_semi")
-        return map_arrow(wanted, _sets(words), "node long, data binary").where("octet_length(data) > 0")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        sets = cut(sets_of(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
-        both = pairs.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a").select("a", "b", "x", "y")
+        wanted = cut(groups.join(ids, "node", "left_semi").select("node", "id", "set_key"))
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        found = source.join(wanted, source.doc_id == wanted.id).select("node", "set_key", "text")
+        return map_arrow(found, _sets(words), "node long, data binary")
+
+    def alike(both: DataFrame) -> DataFrame:
         return map_arrow(both, _alike(percent), "a long, b long")
 
-    labels = link_buckets(groups.select("node", "keys"), verify, sets_of, _index(percent))
-    placed = groups.select("set_key", "node").join(labels, "node", "left")
-    placed = cut(placed.select("set_key", F.coalesce("component", "node").alias("component_id")))
-    named = usable.select("doc_id", "n_shingles", "set_key").join(placed, "set_key").drop("set_key")
-    alone = sketches.where("set_key is null or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-    )
-    return (
-        named.unionByName(alone)
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-        .withColumnRenamed("doc_id", id_col)
+    labels = link_buckets(groups.select("node", "keys"), sets_of, alike, _index(percent))
+    placed = groups.select("set_key", "node", "id", "text_hash").join(labels, "node", "left")
+    placed = cut(placed.withColumn("component", F.coalesce("component", "node")))
+    heads = placed.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("head"))
+    placed = cut(
+        placed.join(heads, "component").select(
+            "set_key", F.col("head.id").alias("component_id"), F.col("head.text_hash").alias("head_hash")
+        )
     )
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("head_hash"))
+    columns = ["doc_id", "n_shingles", "component_id", "text_hash"]
+    named = usable.select("doc_id", "n_shingles", "set_key", "text_hash").join(placed, "set_key").select(*columns, stays.alias("stays"))
+    alone = sketches.where("set_key is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    found = named.unionByName(alone.select(*columns, F.lit(True).alias("stays")))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return found.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", kept, "text_hash", "stays")
