@@ -1,4 +1,4 @@
-"""Removal of repeated runs of lines, cut at content-defined boundaries. DataFrame functions only."""
+"""Removal of repeated passages of lines, bounded by their content. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from strandline.llm.lineage import cut
 
-#: A boundary lies after one line in so many, on average.
-LINES = 3
-#: Fixed values of the rolling hash over the hashes of two neighbouring lines.
-FACTOR, MODULUS = 31, 2147483647
 #: Repeated hashes may be broadcast up to this many (8 bytes each).
 BROADCAST_HASHES = 1_000_000
 
@@ -22,90 +18,44 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _chunks(lines: Column) -> Column:
-    hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-    zero = F.array(F.lit(0).cast("long"))
-    rolled = _let(
-        hashes,
-        lambda h: F.zip_with(F.concat(zero, F.slice(h, 1, F.size(h) - 1)), h, lambda before, own: before * FACTOR + own),
-    )
-    ends = _let(
-        rolled,
-        lambda r: F.filter(
-            F.sequence(F.lit(1), F.size(r)), lambda i: (F.get(r, i - 1) % MODULUS % LINES == 0) | (i == F.size(r))
-        ),
-    )
-    return _let(
-        ends,
-        lambda last: F.zip_with(
-            F.concat(F.array(F.lit(0)), F.slice(last, 1, F.size(last) - 1)),
-            last,
-            lambda before, end: F.struct((before + 1).alias("first"), end.alias("last")),
-        ),
-    )
+def windows(text: Column, with_lines: bool = True) -> Column:
+    """Every two neighbouring lines of a text as (first, last, mark, run): line numbers from 1, rolling hash, the lines.
 
-
-def line_chunks(text: Column) -> Column:
-    """Chunks of a text: array of (first, last), line numbers from 1.
-
-    A line ends a chunk if the rolling hash of it and the line before it is divisible by LINES, so
-    boundaries depend on the content nearby and not on what was inserted further up.
+    The rolling hash (a cyclic polynomial) of a window follows from the hashes of its lines alone, so a passage
+    has the same hashes wherever it stands.
     """
-    return _let(F.split(text, "\n", -1), _chunks)
-
 
-def _runs(text: Column) -> Column:
-    """Multi-line chunks of a text as (first, last, run)."""
+    def pairs(lines: Column, hashes: Column) -> Column:
+        def window(i: Column) -> Column:
+            own = F.get(hashes, i)
+            turned = F.shiftleft(own, 1).bitwiseXOR(F.shiftrightunsigned(own, 63))
+            mark = turned.bitwiseXOR(F.get(hashes, i + 1)).alias("mark")
+            run = F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1)).alias("run")
+            return F.struct((i + 1).alias("first"), (i + 2).alias("last"), mark, *[run] * with_lines)
 
-    def runs(lines: Column) -> Column:
-        many = F.filter(_chunks(lines), lambda c: c["last"] > c["first"])
-        joined = lambda c: F.array_join(F.slice(lines, c["first"], c["last"] - c["first"] + 1), "\n")
-        return F.transform(many, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), joined(c).alias("run")))
+        count = F.size(lines) - 1
+        return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1))), lambda i: i < count), window)
 
-    return _let(F.split(text, "\n", -1), runs)
-
-
-def _pairs(text: Column) -> Column:
-    """Every two neighbouring lines of a text as (first, last, run)."""
-
-    def pairs(lines: Column) -> Column:
-        following = F.slice(lines, 2, F.size(lines))
-        joined = F.zip_with(F.slice(lines, 1, F.size(following)), following, lambda a, b: F.concat(a, F.lit("\n"), b))
-        return F.transform(joined, lambda run, i: F.struct((i + 1).alias("first"), (i + 2).alias("last"), run.alias("run")))
-
-    return _let(F.split(text, "\n", -1), pairs)
+    return _let(F.split(text, "\n", -1), lambda lines: _let(F.transform(lines, lambda x: F.xxhash64(x)), lambda h: pairs(lines, h)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Remove multi-line chunks that occur before, anywhere in the table.
-
-    Returns all columns and rows of the input with the text replaced, and ``n_lines`` and
-    ``n_removed`` (lines of the input text, lines removed; columns of these names are replaced). Of the
-    equal chunks of two lines or more, the one of the smallest id, and there the first, stays. Chunks with
-    equal hashes are compared byte for byte, by grouping on their text. Chunks of a single line stay.
-
-    A null text stays null with no lines; an empty text has one empty line. Rows that repeat both id
-    and text are one document and keep the same lines; a null id comes before all others. A document
-    that loses all lines stays with an empty text; an empty table gives no rows.
-
-    Passages that lie across chunk boundaries stay in part or whole; dedup_passages finds these too.
-    """
-    return _without_repeats(docs, _runs, id_col, text_col)
-
-
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Remove the lines of passages of two lines or more that occur before, anywhere in the table.
-
-    A line is removed if it and a neighbour follow each other in the same way in a text of smaller id
-    or further up, so a repeated passage goes from its first line to its last, wherever it stands. Lines
-    of the first copy of two lines are not removed as part of a copy that overlaps it ("x" four times
-    leaves it twice). Every line stays somewhere in the table. A repeated line whose neighbours are
-    new stays. Columns, nulls, repeated rows and empty tables are as in dedup_lines.
+    """Remove the lines of chunks of two lines or more that occur before, anywhere in the table.
+
+    A chunk is a run of lines whose windows of two have rolling hashes that occur elsewhere too: its boundaries
+    are where the text stops being repeated, and do not move with what is inserted further up. Windows of
+    equal hashes are compared byte for byte, by grouping on their lines. A line is removed if it and a
+    neighbour follow each other in the same way in a text of smaller id or further up, so a repeated
+    chunk goes from its first line to its last. Lines of the first copy of two lines are not removed as part of a
+    copy that overlaps it ("x" four times leaves it twice). Every line stays somewhere in the table; a repeated
+    line whose neighbours are new stays.
+
+    Returns all columns and rows of the input with the text replaced, and ``n_lines`` and ``n_removed`` (lines
+    of the input text, lines removed; columns of these names are replaced). A null text stays null with no
+    lines; an empty text has one empty line. Rows that repeat both id and text are one document and keep the
+    same lines; a null id comes before all others. A document that loses all lines stays with an empty text; an
+    empty table gives no rows.
     """
-    return _without_repeats(docs, _pairs, id_col, text_col)
-
-
-def _without_repeats(docs: DataFrame, parts: Callable[[Column], Column], id_col: str, text_col: str) -> DataFrame:
     names = list(docs.columns)
     own = [c for c in names if c not in ("n_lines", "n_removed")]
     source = docs.select(
@@ -115,11 +65,11 @@ def _without_repeats(docs: DataFrame, parts: Callable[[Column], Column], id_col:
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"),
     )
     texts = source.select("id", "key", "body").where("body is not null")
-    many = texts.select("id", "key", F.explode(parts(F.col("body"))).alias("c")).select("id", "key", "c.*")
-    occurrences = many.withColumn("mark", F.xxhash64("run"))
-    repeated = cut(occurrences.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
+    marks = texts.select(F.explode(windows(F.col("body"), with_lines=False)).alias("w")).select("w.mark")
+    repeated = cut(marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
     if repeated.count() <= BROADCAST_HASHES:
         repeated = F.broadcast(repeated)
+    occurrences = texts.select("id", "key", F.explode(windows(F.col("body"))).alias("w")).select("id", "key", "w.*")
     again = cut(occurrences.join(repeated, "mark", "left_semi").select("id", "key", "first", "last", "run"))
     here = F.struct("id", "key", "first")
     keepers = cut(again.groupBy("run").agg(F.min(here).alias("keeper"), F.count("*").alias("n")).where("n > 1"))
@@ -146,34 +96,8 @@ def _without_repeats(docs: DataFrame, parts: Callable[[Column], Column], id_col:
     return rebuilt.select(*columns, "n_lines", "n_removed")
 
 
-#: SQL for the rows of dedup_lines over a table or view; {docs} names it.
-KEPT_SQL = """
-  lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
-    FROM {docs} WHERE text IS NOT NULL),
-  hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
-  rolled AS (
-    SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) % 2147483647 % 3 = 0 AS ends FROM hashed),
-  placed AS (
-    SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-    FROM rolled),
-  runs AS (SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS run, count(*) AS n FROM placed GROUP BY 1, 2),
-  marked AS (
-    SELECT *, n > 1 AND row_number() OVER (PARTITION BY run, n > 1 ORDER BY doc_id, place) > 1 AS gone FROM runs),
-  kept AS (
-    SELECT doc_id, coalesce(string_agg(run, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text,
-      sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed
-    FROM marked GROUP BY 1)
-"""
-ORACLE = (
-    "WITH "
-    + KEPT_SQL.format(docs="documents")
-    + "SELECT doc_id, n_lines, n_removed, strlen(text)::BIGINT AS n_bytes, sha256(text) AS kept_sha256 FROM kept"
-)
-
-
-#: SQL for the rows of dedup_passages over documents.
-PASSAGES_ORACLE = """
+#: SQL for the rows of dedup_lines over documents.
+ORACLE = """
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
     FROM documents WHERE text IS NOT NULL),

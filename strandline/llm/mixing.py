@@ -16,6 +16,8 @@ PASSES = 3
 #: Points of the unit interval, and the step between neighbouring slots (odd, nearest to 2^31 / golden ratio).
 POINTS = 1 << 31
 STEP = 1327217885
+#: Slots are shared out in units of this part of a slot.
+UNITS = 65536
 #: Intervals into which the points are cut to find their source by an equality join.
 CELLS = 4096
 #: Slots that are ranked in one task.
@@ -57,16 +59,20 @@ def schedule(goals: DataFrame, block: int) -> DataFrame:
     """Slots of the mix in order: (slot, source_no, block_no, pass_no).
 
     Slot k lies at the fractional part of k + 1 golden ratios and belongs to the source whose
-    stretch of the cumulative targets holds that point; its rank among the slots of that source gives
-    the block. Slots after the last allowed pass of a source are left out.
+    stretch of the cumulative needs holds that point; its rank among the slots of that source gives
+    the block. A source needs as many slots as its target has blocks, where a small source's blocks are
+    smaller than others; no source with a target is without a point. Slots after the last allowed pass of a
+    source are left out.
     """
     spark = goals.sparkSession
-    total = goals.agg(F.max("total")).first()[0] or 0
-    slots = -(-total // block)
-    share = F.floor(F.col("target") / F.col("total") * POINTS).cast("long")
+    blocks = F.ceil(F.col("source_size") / block)
+    units = F.floor(F.col("target") / F.col("source_size") * blocks * UNITS).cast("long")
+    needed = goals.where("target > 0").withColumns({"blocks": blocks, "units": units}).where("units > 0")
+    sources, all_units = needed.agg(F.count("*"), F.coalesce(F.sum("units"), F.lit(0))).first()
+    slots = -(-all_units // UNITS)
+    share = F.floor(F.col("units") / F.lit(float(all_units)) * (POINTS - sources)).cast("long") + 1
     upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
-    stretches = goals.where("target > 0").withColumn("high", F.sum(share).over(upto)).withColumn("low", F.col("high") - share)
-    stretches = stretches.where("high > low").withColumn("blocks", F.ceil(F.col("source_size") / block))
+    stretches = needed.withColumn("high", F.sum(share).over(upto)).withColumn("low", F.col("high") - share)
     width = POINTS // CELLS
     cells = F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
     stretches = stretches.select("source_no", "blocks", "low", "high", cells.alias("cell"))
@@ -170,14 +176,18 @@ goals AS (
   SELECT source, source_no, source_size, total, least(bound::DOUBLE, chosen.level * weight) AS target FROM levels, chosen),
 shape AS (
   SELECT least(4096, greatest(16, ceil(max(total) / 1048576.0)))::BIGINT AS block, max(total) AS total FROM goals),
-stretches AS (
+needs AS (
   SELECT source_no, ceil(source_size / block::DOUBLE)::BIGINT AS blocks,
-    sum(floor(target / goals.total * 2147483648)::BIGINT) OVER (ORDER BY source_no)::BIGINT AS high,
-    floor(target / goals.total * 2147483648)::BIGINT AS share
+    floor(target / source_size * ceil(source_size / block::DOUBLE)::BIGINT * 65536)::BIGINT AS units
   FROM goals, shape WHERE target > 0),
+whole AS (SELECT sum(units)::BIGINT AS all_units, count(*) AS sources FROM needs WHERE units > 0),
+stretches AS (
+  SELECT source_no, blocks, floor(units::DOUBLE / all_units * (2147483648 - sources))::BIGINT + 1 AS share,
+    sum(floor(units::DOUBLE / all_units * (2147483648 - sources))::BIGINT + 1) OVER (ORDER BY source_no)::BIGINT AS high
+  FROM needs, whole WHERE units > 0),
 points AS (
   SELECT slot, ((slot + 1) % 2147483648) * 1327217885 % 2147483648 AS point
-  FROM (SELECT unnest(range(ceil(total / block::DOUBLE)::BIGINT)) AS slot FROM shape)),
+  FROM (SELECT unnest(range(ceil(all_units / 65536.0)::BIGINT)) AS slot FROM whole)),
 drawn AS (
   SELECT slot, source_no, blocks, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS k
   FROM points JOIN stretches ON point >= high - share AND point < high),

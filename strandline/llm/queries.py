@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,8 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op1_embedding_near_dedup")
@@ -51,6 +51,12 @@ def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+@query("edit_near_texts")
+def edit_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The banding and verification of op2: classes of texts up to a share of edits apart."""
+    return editprint.near_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op3_sharding")
 def karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
@@ -73,7 +79,9 @@ def bpe_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _kept_lines(kept: DataFrame) -> DataFrame:
+@query("op9_line_dedup", linededup.ORACLE)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select(
         "doc_id",
         "n_lines",
@@ -83,21 +91,7 @@ def _kept_lines(kept: DataFrame) -> DataFrame:
     )
 
 
-@query("op9_line_dedup", linededup.ORACLE)
-def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kept_lines(linededup.dedup_lines(table(spark, sf_dir, "documents")))
-
-
-@query("op9_passage_dedup", linededup.PASSAGES_ORACLE)
-def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kept_lines(linededup.dedup_passages(table(spark, sf_dir, "documents")))
-
-
 @query("op10_mixing", mixing.ORACLE)
 def golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
-
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
