@@ -17,11 +17,13 @@ def texts():
     near = base.split()
     near[60] = "changed"
     passage = words(rng, 90)
+    twice = words(rng, 50), words(rng, 50)
     rows = [
         (1, base), (2, base), (3, " ".join(near)), (4, None), (5, ""), (6, "one"), (7, "ONE"), (8, "a b c d"),
         (9, "é ß 日本 🙂 İstanbul"), (10, words(rng, 30_000)), (11, passage + " " + words(rng, 40)), (12, words(rng, 40) + " " + passage),
         (13, "\n".join(["same line"] * 30)), (14, " \t\n "), (15, "x" * 700), (16, "l1\nl2\nl3\nl4\nl5\nl6"), (17, "l1\nl2\nl3\nl4\nl5\nl6\nl7"),
-        (None, base), (None, None), (18, words(rng, 50)), (18, words(rng, 50)), (19, base), (19, base),
+        (None, base), (None, None), (18, twice[0]), (18, twice[1]), (19, base), (19, base),
+        (30, twice[0].replace(" ", "\t", 3)), (31, twice[1] + " end"), (17, twice[1].upper()),
         (20, "<|endoftext|> don't stop <|ENDOFTEXT|> it's"),
     ]
     return rows

@@ -31,6 +31,6 @@ def test_components_of_shared_buckets(spark, monkeypatch, large, size):
         return lambda one: np.abs(values - int.from_bytes(one, "little")) <= 2
 
     found = components.link_buckets(
-        nodes, lambda pairs: pairs.join(near, ["a", "b"], "left_semi"), lambda ids: data.join(ids, "node", "left_semi"), prepare
+        nodes, lambda ids: data.join(ids, "node", "left_semi"), lambda both: both.select("a", "b").join(near, ["a", "b"], "left_semi"), prepare
     )
     assert {r.node: r.component for r in found.collect()} == want

@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with nulls, empties, repeats, clashing columns and empty tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -11,6 +12,8 @@ from tokenizers import Tokenizer
 
 from strandline.llm import bpe, editprint, linededup, minhash, mixing, quality, repeats, sharding
 from strandline.llm.components import connected_components
+from strandline.llm.words import mix
+from tests.llm.conftest import words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -89,6 +92,25 @@ def test_repeats_equal_brute_force(docs, texts, monkeypatch):
         assert got == sorted(want, key=repr)
 
 
+def test_repeats_of_hot_anchors_and_short_periods(spark, monkeypatch):
+    rng = random.Random(1)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    hot, long_hot = letters(64), letters(170)
+    rows = [(i, letters(rng.randrange(300)) + hot + letters(rng.randrange(300))) for i in range(30)]
+    rows += [(i, letters(120) + long_hot + rng.choice(["abc", "xyz"]) * rng.randrange(1, 20) + letters(90)) for i in range(30, 60)]
+    rows += [(60, "x" * 1500), (61, "ab" * 400 + letters(30) + "ab" * 120), (62, "a line of some forty bytes, again ...\n" * 20), (63, "x" * 200)]
+    data = [t.encode() for _, t in rows]
+    seen = Counter(d[s : s + 200] for d in data for s in range(len(d) - 199))
+    want = []
+    for (i, _), d in zip(rows, data):
+        gone = {k for s in range(len(d) - 199) if seen[d[s : s + 200]] > 1 for k in range(s, s + 200)}
+        want.append((i, len(gone), bytearray(c for k, c in enumerate(d) if k not in gone)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for limit in (3, 1):
+        monkeypatch.setattr(repeats, "SORTED", limit)
+        assert rows_of(repeats.remove_repeats(df), "doc_id", "n_removed", "kept") == sorted(want, key=repr)
+
+
 def test_bpe_equals_the_library(docs, texts):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     want = []
@@ -119,6 +141,23 @@ def test_shards_are_even_and_keep_groups(docs, texts):
     assert sum(r["size"] for r in got) == sum(len((t or "").encode()) + 1 for _, t in texts)
 
 
+def test_differencing_equals_a_plain_one():
+    """Karmarkar-Karp as it is defined, on lists of sums: combine the two of largest spread, oppositely ordered."""
+    rng = random.Random(2)
+    for ways in (2, 3, 5):
+        sizes = [rng.randrange(1, 90) for _ in range(40)]
+        parts = [[n] + [0] * (ways - 1) for n in sizes]
+        while len(parts) > 1:
+            parts.sort(key=lambda p: p[0] - p[-1])
+            a, b = parts.pop(), parts.pop()
+            parts.append(sorted((x + y for x, y in zip(a, reversed(b))), reverse=True))
+        found = sharding.differencing([[(n, k)] for k, n in enumerate(sizes)], ways)
+        assert max(x for x, _ in found) - min(x for x, _ in found) <= parts[0][0] - parts[0][-1] + 3
+        homes = [sharding.leaves(content) for _, content in found]
+        assert sorted(k for own in homes for k in own) == list(range(40))
+        assert [sum(sizes[k] for k in own) for own in homes] == [x for x, _ in found]
+
+
 def test_differencing_in_several_levels(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BLOCK_GROUPS", 16)
     monkeypatch.setattr(sharding, "BLOCK_PARTS", 4)
@@ -142,16 +181,35 @@ def test_mix_meets_its_targets(docs, texts):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
-def test_line_dedup_keeps_first_copies(spark, docs):
-    runs = "a1\na2\na3\na4\na5\na6\na7\na8"
-    df = spark.createDataFrame([(2, runs), (1, runs), (3, None), (4, ""), (5, "x\n" + runs + "\ny"), (None, "z")], "doc_id long, text string")
-    got = {r.doc_id: r for r in linededup.dedup_lines(df.withColumn("gone", df.text)).collect()}
-    assert got[1].text == runs and got[1].n_removed == 0
-    assert got[2].n_removed >= 2 and len(got[2].text) < len(runs)
-    assert got[3].text is None and got[3].n_lines == 0 and got[4].text == "" and got[4].n_lines == 1
-    assert got[5].text.startswith("x") and got[5].text.endswith("y") and got[5].gone == "x\n" + runs + "\ny"
-    whole = linededup.dedup_lines(docs)
-    assert whole.count() == docs.count() and set(docs.columns) <= set(whole.columns)
+def test_mix_takes_small_sources_to_their_target(spark):
+    rows = [(i, "w " * 3000, "big") for i in range(40)] + [(100, "one two three", "small"), (101, "four", "tiny")]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for name in ("small", "tiny"):
+        own = [r for r in got if r.source == name]
+        assert sum(r.taken for r in own) == own[0].target == 3 * own[0].source_size
+
+
+def test_line_dedup_equals_brute_force(docs, texts):
+    """Pairs of lines in order of id and place; equal rows are one document."""
+    known = sorted({(i is not None, i or 0, t) for i, t in texts if t is not None}, key=lambda r: (r[0], r[1], xx(r)))
+    first, gone = {}, {}
+    for n, (_, _, text) in enumerate(known):
+        lines = text.split("\n")
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            home = first.setdefault(pair, (n, k))
+            if home != (n, k):
+                gone.setdefault(n, set()).update({k, k + 1} - ({home[1], home[1] + 1} if home[0] == n else set()))
+    want = {}
+    for n, (named, i, text) in enumerate(known):
+        kept = [x for k, x in enumerate(text.split("\n")) if k not in gone.get(n, ())]
+        want[i if named else None, text] = ("\n".join(kept), len(text.split("\n")), len(gone.get(n, ())))
+    rows = [(i, t, *want.get((i, t), (None, 0, 0))) for i, t in texts]
+    found = linededup.dedup_lines(docs.withColumn("gone", docs.text).withColumn("body", docs.text))
+    assert rows_of(found, "doc_id", "gone", "text", "n_lines", "n_removed") == sorted(rows, key=repr)
+
+
+def xx(row):
+    return row[2]
 
 
 def test_short_repeated_passages_go_whole(spark):
@@ -163,18 +221,16 @@ def test_short_repeated_passages_go_whole(spark):
             want |= {100 * n + 2 * k: rows[-2][1], 100 * n + 2 * k + 1: f"c {n} {k}\nd {n} {k}"}
     rows += [(1, "x\nx\nx\nx"), (2, "x\ny"), (3, None), (4, ""), (5, "p\nq"), (5, "p\nq"), (6, "p\nq"), (None, "z\nw"), (7, "z\nw\nv")]
     want |= {1: "x\nx", 2: "x\ny", 3: None, 4: "", 5: "p\nq", 6: "", None: "z\nw", 7: "v"}
-    got = linededup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert len(got) == len(rows) and {r.doc_id: r.text for r in got} == want
     assert all(r.n_lines - r.n_removed == (len(r.text.split("\n")) if r.text else r.n_lines - r.n_removed) for r in got)
 
 
-def test_line_chunks_resist_shifts(spark):
-    lines = [f"line {i} of many" for i in range(200)]
-    df = spark.createDataFrame([("\n".join(lines),), ("\n".join(["new"] + lines),)], "text string")
-    a, b = (
-        {tuple(r.text.split("\n")[c.first - 1 : c.last]) for c in r.chunks} for r in df.withColumn("chunks", linededup.line_chunks(df.text)).collect()
-    )
-    assert len(a - b) <= 2
+def test_windows_resist_shifts(spark):
+    lines = [f"line {i} of many" for i in range(50)]
+    df = spark.createDataFrame([("\n".join(lines),), ("\n".join(["new"] + lines),), ("one",), ("",)], "text string")
+    marks = [{w.mark for w in r.w} for r in df.select(linededup.windows(df.text).alias("w")).collect()]
+    assert len(marks[0]) == 49 and len(marks[1] - marks[0]) == 1 and marks[2] == set() == marks[3]
 
 
 def test_quality_learns_from_positives_and_unlabelled(spark):
@@ -192,13 +248,42 @@ def test_quality_learns_from_positives_and_unlabelled(spark):
     assert {r.score for r in none} == {0.5}
 
 
-def test_non_negative_risk_goes_back_up():
+def test_a_repeated_id_gives_one_model(spark):
+    rows = [(i, f"calm prose number {i} with words. And more of it.") for i in range(60)] + [(i, "## !! $$ " * 9) for i in range(60, 90)]
+    rows += [(3, "$$ !! ## 17"), (3, None), (70, "a quiet word or two.")]
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = (quality.classify(df.repartition(k), labels).selectExpr("doc_id", "round(score, 9) as score") for k in (1, 5))
+    assert rows_of(one, "doc_id", "score") == rows_of(other, "doc_id", "score")
+
+
+def test_prior_is_near_the_share_of_positives():
     rng = np.random.default_rng(1)
-    positive = rng.normal(1, 0.3, (200, 3))
-    unlabelled = np.concatenate([rng.normal(1, 0.3, (180, 3)), rng.normal(-1, 0.3, (20, 3))])
-    model = quality.fit(positive, unlabelled, 0.9)
+    for share in (0.3, 0.6, 0.9):
+        positive = rng.normal(1, 0.6, (1500, 4))
+        unlabelled = np.concatenate([rng.normal(1, 0.6, (int(3000 * share), 4)), rng.normal(-1, 0.6, (3000 - int(3000 * share), 4))])
+        found = quality.estimated_prior(rng.permutation(positive), rng.permutation(unlabelled))
+        assert 0.8 * share < found < share + 0.03
+    assert quality.estimated_prior(positive[:3], unlabelled) == quality.UNKNOWN
+
+
+def test_risk_is_the_least_near_the_fitted_weights():
+    """The non-negative risk, written out, against steps away from the fit."""
+    rng = np.random.default_rng(1)
+    positive = rng.normal(0.6, 0.8, (400, 3))
+    unlabelled = np.concatenate([rng.normal(0.6, 0.8, (500, 3)), rng.normal(-0.6, 0.8, (500, 3))])
+    model = quality.fit(positive, unlabelled, 0.5, decay=0.0)
     assert (model.margin(np.full((1, 3), 1.0)) > model.margin(np.full((1, 3), -1.0))).all()
 
+    def risk(weights, bias):
+        of_p, of_u = (np.clip((x - model.centre) / model.spread, -8, 8) @ weights + bias for x in (positive, unlabelled))
+        as_negative = np.log1p(np.exp(of_u)).mean() - 0.5 * np.log1p(np.exp(of_p)).mean()
+        return 0.5 * np.log1p(np.exp(-of_p)).mean() + max(0.0, as_negative)
+
+    best = risk(model.weights, model.bias)
+    for _ in range(30):
+        assert best <= risk(model.weights + rng.normal(0, 0.2, 3), model.bias + rng.normal(0, 0.2)) + 1e-3
+
 
 def test_edit_fingerprints(docs, texts, spark):
     known = [(k, t or "") for k, (_, t) in enumerate(texts)]
@@ -215,6 +300,45 @@ def test_edit_fingerprints(docs, texts, spark):
     assert editprint.edited_likeness(docs).count() == len(texts)
 
 
+def test_fingerprints_equal_a_walk_step_by_step():
+    """The walk as it is defined: write the character at the pointer, move on where the shared bit is 1."""
+    bits = np.random.default_rng(20160).integers(0, 2, (editprint.KINDS, editprint.PERIOD), dtype=np.uint8)
+    bits[:, -1] = 1
+    for text in ("", "a", "hello world", "é ß 日本 🙂" * 9, "x" * 700, "the quick brown fox. " * 40):
+        codes = [ord(c) for c in text]
+        written, at, j = [], 0, 0
+        while at < len(codes):
+            written.append(codes[at])
+            kind = (codes[at] * 0x9E3779B1 % (1 << 32)) >> 24
+            at += int(bits[kind, j % editprint.PERIOD])
+            j += 1
+        level = max(9, (5 * len(codes) // 2).bit_length())
+        digits = []
+        for place in editprint.coordinates(level, level).tolist():
+            if place < len(written):
+                digits.append("%x" % (int(mix(np.array([written[place] + (place << 21)], np.uint64))[0]) & 15))
+        assert editprint.print_texts([text]) == [f"{level:02d}:" + "".join(digits)]
+
+
+def edits(rng, text, n):
+    out = list(text)
+    for _ in range(n):
+        place, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[place : place + (kind != 0)] = [] if kind == 2 else [rng.choice("abcdeiou")]
+    return "".join(out)
+
+
+def test_bands_find_nearly_all_near_texts():
+    rng = random.Random(3)
+    for size in (60, 200, 900, 4000):
+        found = 0
+        for _ in range(100):
+            text = words(rng, size)[:size]
+            a, b = (editprint.band_keys(editprint.codes_of(x)) for x in (text, edits(rng, text, int(size * editprint.SHARE))))
+            found += len(np.intersect1d(a, b)) > 0
+        assert found >= 95
+
+
 def test_walks_one_by_one_equal_walks_together():
     rng = np.random.default_rng(2)
     texts = ["".join(map(chr, rng.integers(97, 123, rng.integers(0, 60)))) for _ in range(80)]
@@ -224,13 +348,36 @@ def test_walks_one_by_one_equal_walks_together():
         assert (editprint.walks([c], [0])[0] == w).all()
 
 
-def test_near_texts_by_edit_distance(spark):
-    base = "the quick brown fox jumps over the lazy dog and runs along the river bank until night falls " * 4
-    rows = [(1, base), (2, base[:100] + "X" + base[101:]), (3, base[:250] + base[251:]), (4, "something else entirely " * 12), (5, None), (6, ""), (7, base)]
-    got = {r.doc_id: r.component_id for r in editprint.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 1}
-    for a, b in (("kitten", "sitting"), ("", "abc"), ("abc", "abc")):
-        assert editprint.edit_distance(editprint.codes_of(a), editprint.codes_of(b), 9) == {"kitten": 3, "": 3, "abc": 0}[a]
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+def test_edit_distance_within_a_bound():
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(2))
+        for most in (0, 1, 3, 20):
+            assert editprint.edit_distance(editprint.codes_of(a), editprint.codes_of(b), most) == min(plain_distance(a, b), most + 1)
+
+
+def test_near_texts_equal_brute_force(spark):
+    rng = random.Random(6)
+    base = [words(rng, 40) for _ in range(6)]
+    rows = [(10 * k + n, edits(rng, text, n * len(text) // 40)) for k, text in enumerate(base) for n in range(5)]
+    rows += [(500, base[0]), (500, base[1]), (501, base[1] + "x"), (502, base[0]), (503, None), (504, ""), (None, base[2]), (504, ""), (3, base[3])]
+    known = [(i, t) for i, t in rows if t and i is not None]
+    near = lambda a, b: plain_distance(a, b) <= int(max(len(a), len(b)) * editprint.SHARE)
+    linked = [(b, a) for a in range(len(known)) for b in range(a) if near(known[a][1], known[b][1])]
+    label = components(len(known), linked)
+    want = [(i, min(known[m][0] for m in range(len(known)) if label[m] == label[k])) for k, (i, _) in enumerate(known)]
+    want += [(i, i) for i, t in rows if not t or i is None]
+    found = editprint.near_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert rows_of(found, "doc_id", "component_id") == sorted(want, key=repr)
 
 
 def test_empty_tables(no_docs, spark):
