@@ -5,4 +5,6 @@ from strandline.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(cpus=4, memory="4g", partitions=4)
+    session = local_session(cpus=4, memory="4g", partitions=4)
+    session.sparkContext.setLogLevel("ERROR")
+    return session
