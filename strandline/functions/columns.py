@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -276,25 +276,31 @@ def as_number(text: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+@lru_cache(maxsize=1024)
+def path_steps(path: str) -> tuple[tuple[str, str], ...]:
+    """A dotted path as (kind, text) steps: ``any`` for '*', ``place`` for whole numbers, bare or in brackets, else ``name``."""
+    texts = [t.removeprefix("[").removesuffix("]") if re.fullmatch(r"\[.*\]", t) else t for t in path.split(".") if t]
+    return tuple(("any" if t == "*" else "place" if re.fullmatch(r"-?\d+", t) else "name", t) for t in texts)
+
+
 def dig(value: object, path: str) -> object:
     """Part of a nested value by a dotted path; None where it does not lead anywhere.
 
     Numbers index lists, also as [0] and from the end; '*' takes the first entry of a map or list;
     a name on a list of one goes into its element.
     """
-    for raw in filter(None, (path or "").split(".")):
-        step = raw[1:-1] if raw[:1] == "[" and raw[-1:] == "]" else raw
-        number = int(step) if re.fullmatch(r"-*\d+", step) and step.count("-") < 2 else None
-        if step == "*":
-            entries = list(value.values()) if isinstance(value, dict) else value if isinstance(value, list) else []
-            value = entries[0] if entries else None
-            continue
-        if isinstance(value, list) and number is None and len(value) == 1:
-            value = value[0]
-        if isinstance(value, list):
-            value = value[number] if number is not None and -len(value) <= number < len(value) else None
-        else:
-            value = value.get(step) if isinstance(value, dict) else None
+    for step in path_steps(path or ""):
+        match step, value:
+            case ("any", _), dict() | list():
+                value = next(iter(value.values() if isinstance(value, dict) else value), None)
+            case ("place", at), list():
+                value = value[int(at)] if -len(value) <= int(at) < len(value) else None
+            case ("name", name), [dict() as only]:
+                value = only.get(name)
+            case ("place" | "name", name), dict():
+                value = value.get(name)
+            case _:
+                return None
     return value
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.relational import with_row_number
+from strandline.operators.relational import sums_before, with_row_number
 
 
 def p_adjusted(df: DataFrame, p: str, tie: str, group: str | None = None) -> DataFrame:
@@ -239,15 +239,15 @@ def regression_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
 def classification_metrics(df: DataFrame, y: str, score: str, threshold: float = 0.5) -> DataFrame:
     """Accuracy, recall, specificity, area under the ROC curve (by rank sums) and average precision.
 
-    Scores are counted first, so ranks run over distinct scores.
+    Scores are counted first, so ranks run over distinct scores, in range partitions.
     """
     positive = F.sum(F.when(F.col(y) == 1, 1).otherwise(0))
     counts = df.groupBy(F.col(score).alias("s")).agg(positive.alias("pos"), F.count("*").alias("n"))
-    up, down = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    below = F.coalesce(F.sum("n").over(up), F.lit(0))
-    seen, hit = F.sum("n").over(down), F.sum("pos").over(down)
-    table = counts.select(
-        "s", "pos", "n", (below + (F.col("n") + 1) / 2).alias("rank"), (F.col("pos") * hit / seen).alias("part")
+    whole = F.broadcast(counts.agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos")))
+    ranked = sums_before(counts, "s", "n", "pos").join(whole)
+    seen, hit = F.col("all_n") - F.col("before_n"), F.col("all_pos") - F.col("before_pos")
+    table = ranked.select(
+        "s", "pos", "n", (F.col("before_n") + (F.col("n") + 1) / 2).alias("rank"), (F.col("pos") * hit / seen).alias("part")
     )
     called = F.col("s") >= threshold
     neg = F.col("n") - F.col("pos")
@@ -263,9 +263,12 @@ def classification_metrics(df: DataFrame, y: str, score: str, threshold: float =
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Correlation of average ranks."""
-    ranks = df.select(average_rank(F.col(x)).alias("a"), average_rank(F.col(y)).alias("b"))
-    return ranks.agg(F.corr("a", "b").alias("spearman"))
+    """Correlation of average ranks of the rows that have both values; ranks run over distinct values, in range partitions."""
+    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("x"), F.col(y).alias("y"))
+    for side in ("x", "y"):
+        counts = sums_before(pairs.groupBy(side).agg(F.count("*").alias("n")), side, "n")
+        pairs = pairs.join(counts.select(side, (F.col("before_n") + (F.col("n") + 1) / 2).alias(f"rank_{side}")), side)
+    return pairs.agg(F.corr("rank_x", "rank_y").alias("spearman"))
 
 
 def scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:

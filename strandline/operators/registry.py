@@ -117,3 +117,54 @@ def catalog_nodes(catalog: DataFrame, legacy: DataFrame, schema: str) -> DataFra
 
     nodes = read(catalog)
     return read(legacy) if nodes.isEmpty() else nodes
+
+
+def available_models(models: DataFrame, category: str) -> DataFrame:
+    """Active models of a category, newest first."""
+    columns = ["model_id", "model_name", "model_display_name", "model_source_version", "model_uc_name", "model_uc_version"]
+    return models.where(F.col("is_active") & (F.col("model_category") == category)).select(columns).orderBy(F.desc("model_id"))
+
+
+def deployed_models(deployments: DataFrame, models: DataFrame, category: str) -> DataFrame:
+    """Active deployments of the models of a category, active or not, newest first, with the model's full name."""
+    chosen = models.where(F.col("model_category") == category).select(
+        "model_id", "model_display_name", "model_source_version", F.concat_ws("/", "model_uc_name", "model_uc_version").alias("uc_name")
+    )
+    joined = deployments.where("is_active").join(chosen, "model_id")
+    columns = ["model_id", "deployment_id", "deployment_name", "deployment_description", "model_display_name", "model_source_version"]
+    return joined.select(*columns, "uc_name", "model_endpoint_name").orderBy(F.desc("deployment_id"))
+
+
+def batch_models(models: DataFrame, category: str | None = None) -> DataFrame:
+    """Active batch models by name; without a category, those of all by module and name."""
+    active = models.where("is_active")
+    if category is not None:
+        active = active.where(F.col("model_category") == category)
+        return active.select("model_display_name", "model_description", "job_name", "cluster_type").orderBy("model_display_name")
+    columns = ["model_display_name", "model_category", "module", "cluster_type", "job_name", "job_id"]
+    return active.select(columns).orderBy("module", "model_display_name")
+
+
+def settings_list(settings: DataFrame) -> DataFrame:
+    return settings.select("key", "value", "module").orderBy("module", "key")
+
+
+def remove_group(permissions: DataFrame, module: str, submodule: str | None, group: str, by: str, at: Column | None = None) -> DataFrame:
+    """Take a group out of the active permissions of a module and submodule (none: those for the whole module)."""
+    here = F.col("is_active") & (F.col("module_name") == module) & F.col("submodule_name").eqNullSafe(F.lit(submodule))
+    hit = F.coalesce(here, F.lit(False))
+    new = {"groups": F.array_remove("groups", group), "updated_at": F.current_timestamp() if at is None else at, "updated_by": F.lit(by)}
+    return permissions.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in new.items()})
+
+
+def active_fine_tunes(weights: DataFrame) -> DataFrame:
+    """Active fine-tuned weights, newest first, their ids as text."""
+    shown = weights.where("is_active").orderBy(F.desc("created_datetime"), F.desc("ft_id"))
+    return shown.select(F.col("ft_id").cast("string").alias("ft_id"), "ft_label", "dataset_type", "task_names", "run_id", "created_datetime")
+
+
+def fine_tune(weights: DataFrame, ft_id: int | None = None) -> DataFrame:
+    """Where the weights of an active fine-tune are; without an id, of the one of the greatest id."""
+    active = weights.where("is_active")
+    found = active.orderBy(F.desc("ft_id")).limit(1) if ft_id is None else active.where(F.col("ft_id") == ft_id)
+    return found.select("ft_id", "ft_label", "dataset_type", "task_names", "weights_volume_location")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.sources.trajectory import kept
+
 
 def group_counts(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
     """Rows of each combination of keys."""
@@ -200,15 +202,36 @@ def hash_shards(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("shard", F.pmod(F.hash(key), F.lit(n)))
 
 
+def _ranged(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Range partitions by the order, numbered and written once: planned twice, they would be cut at other places."""
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    return kept(df.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()))
+
+
 def with_row_number(df: DataFrame, *order: str | Column, name: str = "row_no") -> DataFrame:
     """Row numbers from 0 in order: local ranks of range partitions, shifted by the counts before.
 
-    No task sorts all rows; the counts are one row for each partition.
+    No task sorts all rows; the counts are one row for each partition. The partitions are checkpointed.
     """
-    ranged = df.repartitionByRange(*[F.col(o) if isinstance(o, str) else o for o in order]).withColumn("__part", F.spark_partition_id())
+    ranged = _ranged(df, *order)
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
     local = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
     joined = ranged.withColumn("__k", local).join(F.broadcast(shifts), "__part")
     return joined.withColumn(name, (F.col("__k") + F.col("__shift")).cast("long")).drop("__part", "__k", "__shift")
+
+
+def sums_before(df: DataFrame, key: str, *values: str) -> DataFrame:
+    """Adds ``before_<value>``: the sum of each value over the rows of smaller key (keys are distinct).
+
+    Like with_row_number(), by range partitions and the sums of those before.
+    """
+    ranged = _ranged(df, key)
+    sizes = ranged.groupBy("__part").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    parts = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("__part", *[F.coalesce(F.sum(f"__s_{v}").over(parts), F.lit(0)).alias(f"__s_{v}") for v in values])
+    own = Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    local = {f"before_{v}": F.coalesce(F.sum(v).over(own), F.lit(0)) for v in values}
+    joined = ranged.withColumns(local).join(F.broadcast(shifts), "__part")
+    return joined.withColumns({f"before_{v}": F.col(f"before_{v}") + F.col(f"__s_{v}") for v in values}).drop("__part", *[f"__s_{v}" for v in values])

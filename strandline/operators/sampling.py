@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.joins import broadcast_if_small
 from strandline.operators.relational import with_row_number
 
 
@@ -38,7 +39,7 @@ def proportional(df: DataFrame, stratum: str, total: int, id_col: str, seed: int
     rest = F.lit(total) - F.sum("__quota").over(whole)
     quotas = quotas.withColumn("__quota", F.col("__quota") + F.when(largest, rest).otherwise(0))
     own = Window.partitionBy(stratum).orderBy(draw_key(id_col, seed), id_col)
-    ranked = df.withColumn("__rank", F.row_number().over(own)).join(F.broadcast(quotas.select(stratum, "__quota")), stratum)
+    ranked = df.withColumn("__rank", F.row_number().over(own)).join(broadcast_if_small(quotas.select(stratum, "__quota")), stratum)
     return ranked.where(F.col("__rank") <= F.col("__quota")).select(df.columns)
 
 
@@ -50,7 +51,7 @@ def with_floor(df: DataFrame, stratum: str, kept: Sequence[str], target: int, fl
     quota = F.greatest(F.least("__n", share), F.least(F.col("__n"), F.lit(floor)))
     quotas = sizes.join(F.broadcast(whole)).withColumn("__quota", F.when(F.col(stratum).isin(list(kept)), F.col("__n")).otherwise(quota))
     own = Window.partitionBy(stratum).orderBy(draw_key(id_col, seed), id_col)
-    ranked = df.withColumn("__rank", F.row_number().over(own)).join(F.broadcast(quotas.select(stratum, "__quota")), stratum)
+    ranked = df.withColumn("__rank", F.row_number().over(own)).join(broadcast_if_small(quotas.select(stratum, "__quota")), stratum)
     return ranked.where(F.col("__rank") <= F.col("__quota")).select(df.columns)
 
 

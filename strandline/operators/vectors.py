@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.columns import cosine, dot, idf_weight, norm
+from strandline.operators.joins import broadcast_if_small
 
 #: Query vectors that may be sent to all tasks (their size is checked); more are taken in turns.
 QUERY_ROWS = 4096
+#: Vectors that are compared each with each.
+REPRESENTATIVES = 4096
 
 
 def _search(ids: np.ndarray, queries: np.ndarray, k: int, metric: str, skip_self: bool):
@@ -26,18 +28,20 @@ def _search(ids: np.ndarray, queries: np.ndarray, k: int, metric: str, skip_self
         return -np.sqrt(np.maximum(((block[:, None, :] - queries[None]) ** 2).sum(axis=2), 0))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list = [pd.DataFrame() for _ in ids]
+        best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
         for frame in frames:
             if not frame.num_rows:
                 continue
             own = frame.column(0).to_numpy(zero_copy_only=False)
             scores = score(np.stack(frame.column(1).to_numpy(zero_copy_only=False)).astype(np.float64))
             for q, qid in enumerate(ids):
-                use = own != qid if skip_self else np.ones(len(own), bool)
-                found = pd.DataFrame({"id": own[use], "score": scores[use, q]})
-                both = pd.concat([best[q], found]) if len(best[q]) else found
-                best[q] = both.sort_values(["score", "id"], ascending=[False, True]).head(k)
-        rows = [(qid, i, s) for qid, b in zip(ids, best) if len(b) for i, s in zip(b["id"], b["score"])]
+                mine, found = scores[:, q], own != qid if skip_self else np.ones(len(own), bool)
+                if found.sum() > k:
+                    found &= mine >= -np.partition(-mine[found], k - 1)[k - 1]
+                both = np.append(best[q][0], own[found]), np.append(best[q][1], mine[found])
+                order = np.lexsort((both[0], -both[1]))[:k]
+                best[q] = both[0][order], both[1][order]
+        rows = [(qid, i, s) for qid, b in zip(ids, best) for i, s in zip(*b)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
             names=["query_id", "id", "score"],
@@ -97,7 +101,7 @@ def label_votes(neighbours: DataFrame, labels: DataFrame, id_col: str, label: st
     if frequencies is None:
         return joined.groupBy(group, label).agg(F.count("*").cast("double").alias("weight"))
     known = frequencies.select(F.col(label), F.col("n").alias("__n"))
-    weighed = joined.join(F.broadcast(known), label, "left").withColumn("w", idf_weight(F.col("__n")))
+    weighed = joined.join(broadcast_if_small(known), label, "left").withColumn("w", idf_weight(F.col("__n")))
     return weighed.groupBy(group, label).agg(F.sum("w").alias("weight"))
 
 
@@ -122,7 +126,12 @@ def annotate_all(groups: DataFrame, votes: DataFrame, label: str, group: str = "
 
 
 def pairwise_cosine(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """Cosine of each two of a few representatives (one row for each cluster): (a, b, cosine), a < b."""
+    """Cosine of each two of a few representatives (one row for each cluster): (a, b, cosine), a < b.
+
+    More than REPRESENTATIVES are refused, as each is paired with each.
+    """
+    if vectors.limit(REPRESENTATIVES + 1).count() > REPRESENTATIVES:
+        raise ValueError(f"more than {REPRESENTATIVES} vectors to pair")
     left, right = vectors.select(F.col(key).alias("a"), F.col(vector).alias("x")), vectors.select(F.col(key).alias("b"), F.col(vector).alias("y"))
     return left.join(F.broadcast(right), F.col("a") < F.col("b")).select("a", "b", cosine(F.col("x"), F.col("y")).alias("cosine"))
 
