@@ -43,47 +43,91 @@ for _i, _a in enumerate(RESIDUES):
         _SCORES[ord(_a), ord(_b)] = _GRID[_i, _j]
 
 
-def local_alignment(query: str, target: str, gap_open: int = 11, gap_extend: int = 1) -> tuple[int, str, str]:
-    """Best score with affine gaps, and the two aligned strings with '-' for gaps."""
-    if not query or not target:
-        return 0, "", ""
-    a = np.frombuffer(query.upper().encode("ascii", "replace"), np.uint8) & 127
-    b = np.frombuffer(target.upper().encode("ascii", "replace"), np.uint8) & 127
-    n, m = len(a), len(b)
-    best = np.zeros((n + 1, m + 1), np.int64)
-    down = np.full((n + 1, m + 1), -(10**9), np.int64)
-    across = np.full((n + 1, m + 1), -(10**9), np.int64)
-    ramp = np.arange(m + 1) * gap_extend
+_SCORES[0, :] = _SCORES[:, 0] = -(10**6)  # what shorter sequences are filled up with
+
+#: Cells of the matrices that are worked on at a time (three numbers of four bytes each).
+CELLS = 1 << 22
+
+
+def _letters(sequences: list[str]) -> np.ndarray:
+    """One row of letters for each sequence, filled up with zeros."""
+    rows = [np.frombuffer(x.upper().encode("ascii", "replace"), np.uint8) & 127 for x in sequences]
+    out = np.zeros((len(rows), max(map(len, rows))), np.uint8)
+    for row, letters in zip(out, rows):
+        row[: len(letters)] = letters
+    return out
+
+
+def _align(queries: list[str], targets: list[str], gap_open: int, gap_extend: int) -> list[tuple[int, str, str]]:
+    """Local alignments of several pairs at once: all matrices grow row by row, and all paths go back step by step."""
+    a, b = _letters(queries), _letters(targets)
+    count, n, m = len(a), a.shape[1], b.shape[1]
+    none = np.int32(-(10**8))
+    best = np.zeros((count, n + 1, m + 1), np.int32)
+    down, across = np.full_like(best, none), np.full_like(best, none)
+    ramp = np.arange(m + 1, dtype=np.int32) * np.int32(gap_extend)
     for i in range(1, n + 1):
-        down[i] = np.maximum(best[i - 1] - gap_open, down[i - 1] - gap_extend)
-        straight = np.maximum(0, best[i - 1, :-1] + _SCORES[a[i - 1], b])
-        row = np.append(0, np.maximum(straight, down[i, 1:]))
-        reach = np.maximum.accumulate(row + ramp)[:-1] - gap_open - ramp[:-1]
-        across[i, 1:] = reach
-        best[i] = np.maximum(row, np.append(-(10**9), reach))
-    i, j = np.unravel_index(int(best.argmax()), best.shape)
-    score, q, t, state = int(best[i, j]), [], [], "best"
-    while i > 0 and j > 0:
-        if state == "best":
-            if best[i, j] == 0:
-                break
-            if best[i, j] == best[i - 1, j - 1] + _SCORES[a[i - 1], b[j - 1]]:
-                q.append(query[i - 1])
-                t.append(target[j - 1])
-                i, j = i - 1, j - 1
-            else:
-                state = "down" if best[i, j] == down[i, j] else "across"
-        elif state == "down":
-            q.append(query[i - 1])
-            t.append("-")
-            state = "best" if down[i, j] == best[i - 1, j] - gap_open else "down"
-            i -= 1
-        else:
-            q.append("-")
-            t.append(target[j - 1])
-            state = "best" if across[i, j] == best[i, j - 1] - gap_open else "across"
-            j -= 1
-    return score, "".join(reversed(q)), "".join(reversed(t))
+        down[:, i] = np.maximum(best[:, i - 1] - gap_open, down[:, i - 1] - gap_extend)
+        straight = np.maximum(0, best[:, i - 1, :-1] + _SCORES[a[:, i - 1, None], b])
+        row = np.zeros((count, m + 1), np.int32)
+        row[:, 1:] = np.maximum(straight, down[:, i, 1:])
+        across[:, i, 1:] = np.maximum.accumulate(row + ramp, axis=1)[:, :-1] - gap_open - ramp[:-1]
+        best[:, i] = np.maximum(row, across[:, i])
+    every = np.arange(count)
+    ends = best.reshape(count, -1).argmax(axis=1)
+    i, j = ends // (m + 1), ends % (m + 1)
+    scores = best[every, i, j]
+    state, steps = np.zeros(count, np.int8), []  # 0: ends in a pair, 1: in a gap of the target, 2: of the query
+    going = (best[every, i, j] > 0) & (i > 0) & (j > 0)
+    while going.any():
+        up, left = np.maximum(i - 1, 0), np.maximum(j - 1, 0)
+        here = best[every, i, j]
+        pair = here == best[every, up, left] + _SCORES[a[every, up], b[every, left]]
+        gap = np.where(here == down[every, i, j], 1, 2)
+        kind = np.where(state > 0, state, np.where(pair, 0, gap))
+        over = np.where(kind == 1, down[every, i, j] == best[every, up, j] - gap_open, across[every, i, j] == best[every, i, left] - gap_open)
+        steps.append((np.where(going & (kind != 2), up, -1), np.where(going & (kind != 1), left, -1)))
+        state = np.where((kind > 0) & ~over, kind, 0).astype(np.int8)
+        i, j = np.where(going & (kind != 2), up, i), np.where(going & (kind != 1), left, j)
+        going &= (i > 0) & (j > 0) & ((state > 0) | (best[every, i, j] > 0))
+    out = []
+    for k, (query, target) in enumerate(zip(queries, targets)):
+        path = [(q[k], t[k]) for q, t in reversed(steps) if q[k] >= 0 or t[k] >= 0]
+        texts = ("".join(x[p[side]] if p[side] >= 0 else "-" for p in path) for side, x in enumerate((query, target)))
+        out.append((int(scores[k]), *texts))
+    return out
+
+
+def local_alignments(queries: list[str], targets: list[str], gap_open: int = 11, gap_extend: int = 1) -> list[tuple[int, str, str]]:
+    """Of each pair the best score with affine gaps, and the two aligned strings with '-' for gaps.
+
+    Pairs of like size are aligned together, CELLS at a time; a pair's own matrices are held whole.
+    """
+    sizes = [(len(q) + 1) * (len(t) + 1) if q and t else 0 for q, t in zip(queries, targets)]
+    out: list[tuple[int, str, str]] = [(0, "", "")] * len(sizes)
+    batch: list[int] = []
+    widest = [0, 0]
+
+    def work() -> None:
+        if batch:
+            for k, found in zip(batch, _align([queries[k] for k in batch], [targets[k] for k in batch], gap_open, gap_extend)):
+                out[k] = found
+        batch.clear()
+
+    for k in sorted((k for k, size in enumerate(sizes) if size), key=lambda k: (len(queries[k]), len(targets[k]))):
+        wide = max(widest[0], len(queries[k]) + 1), max(widest[1], len(targets[k]) + 1)
+        if batch and (len(batch) + 1) * wide[0] * wide[1] > CELLS:
+            work()
+            wide = len(queries[k]) + 1, len(targets[k]) + 1
+        widest[:] = wide
+        batch.append(k)
+    work()
+    return out
+
+
+def local_alignment(query: str, target: str, gap_open: int = 11, gap_extend: int = 1) -> tuple[int, str, str]:
+    """local_alignments() of one pair."""
+    return local_alignments([query], [target], gap_open, gap_extend)[0]
 
 
 def aligned(pairs: DataFrame, query: str, target: str, gap_open: int = 11, gap_extend: int = 1) -> DataFrame:
@@ -91,9 +135,8 @@ def aligned(pairs: DataFrame, query: str, target: str, gap_open: int = 11, gap_e
 
     @F.pandas_udf("score int, aligned_query string, aligned_target string")
     def align(q: pd.Series, t: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            [local_alignment(x or "", y or "", gap_open, gap_extend) for x, y in zip(q, t)], columns=["score", "aligned_query", "aligned_target"]
-        )
+        found = local_alignments(q.fillna("").tolist(), t.fillna("").tolist(), gap_open, gap_extend)
+        return pd.DataFrame(found, columns=["score", "aligned_query", "aligned_target"])
 
     found = pairs.withColumn("__al", align(query, target)).select(*pairs.columns, "__al.*")
     letters = F.arrays_zip(F.split("aligned_query", "").alias("q"), F.split("aligned_target", "").alias("t"))

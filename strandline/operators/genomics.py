@@ -29,7 +29,9 @@ def carried_variants(variants: DataFrame, phenotype: DataFrame) -> DataFrame:
 
 
 def restrict_samples(variants: DataFrame, samples: DataFrame) -> DataFrame:
-    """Genotypes of the given samples only; the ids travel as one broadcast array row."""
+    """Genotypes of the given samples only; the ids, SAMPLES at most, travel as one broadcast array row."""
+    if samples.select("sampleId").distinct().limit(SAMPLES + 1).count() > SAMPLES:
+        raise ValueError(f"more than {SAMPLES} samples")
     ids = samples.agg(F.collect_set("sampleId").alias("__ids"))
     kept = C.kept_samples(F.col("genotypes"), F.col("__ids"))
     return variants.join(F.broadcast(ids)).withColumn("genotypes", kept).drop("__ids")
@@ -97,17 +99,24 @@ def with_statistics(variants: DataFrame) -> DataFrame:
 
 
 def association(
-    variants: DataFrame, phenotype: DataFrame, contigs: Sequence[str] | None = None, pvalue_threshold: float = 0.05, firth: bool = True
-) -> DataFrame:
+    variants: DataFrame, phenotype: DataFrame, contigs: Sequence[str] | None = None, pvalue_threshold: float = 0.05, firth: bool = True,
+    covariates: DataFrame | None = None,
+) -> DataFrame:
     """Logistic association of each variant with a 0/1 phenotype: contigName, start, alleles, effect, pvalue.
 
-    Missing genotypes take the mean; constant variants drop out. The phenotype vector of at most
-    SAMPLES samples travels to the tasks; variants are tested where they lie, without a shuffle.
+    Missing genotypes take the mean; constant variants drop out. ``covariates`` has a sampleId and number columns;
+    samples without all of them are left out. The phenotypes and covariates of at most SAMPLES samples travel to
+    the tasks; variants are tested where they lie, without a shuffle.
     """
-    known = phenotype.select("sampleId", F.col("phenotype").cast("double")).where("phenotype >= 0").limit(SAMPLES + 1).toPandas()
+    named = phenotype.select("sampleId", F.col("phenotype").cast("double")).where("phenotype >= 0")
+    extra = [c for c in covariates.columns if c != "sampleId"] if covariates is not None else []
+    if covariates is not None:
+        named = named.join(covariates.select("sampleId", *[F.col(c).cast("double").alias(c) for c in extra]), "sampleId").dropna()
+    known = named.limit(SAMPLES + 1).toPandas()
     if len(known) > SAMPLES:
         raise ValueError(f"more than {SAMPLES} samples")
     target = dict(zip(known["sampleId"], known["phenotype"]))
+    beside = dict(zip(known["sampleId"], known[extra].to_numpy(float)))
     chosen = variants if contigs is None else variants.where(F.col("contigName").isin(list(contigs)))
     values = C.mean_substituted(C.genotype_states(F.col("genotypes")))
     prepared = chosen.withColumn("__v", values).where(C.is_varied(F.col("__v")))
@@ -124,7 +133,8 @@ def association(
                 if len(y) < 3 or len(set(y)) < 2 or np.ptp(v) == 0:
                     effect, p = float("nan"), float("nan")
                 else:
-                    effect, p = logistic_test(v, y, firth_below=pvalue_threshold if firth else None)
+                    with_ = np.array([beside[s] for s in own if s in target]) if extra else None
+                    effect, p = logistic_test(v, y, with_, firth_below=pvalue_threshold if firth else None)
                 effects.append(effect)
                 ps.append(p)
             yield frame[columns].assign(phenotype="phenotype", effect=effects, pvalue=ps)

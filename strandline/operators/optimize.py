@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.relational import feasible_or_all, top_and_rest
+from strandline.operators.relational import best_per_key, feasible_or_all, top_and_rest
 
 
 @dataclass(frozen=True)
@@ -74,14 +74,29 @@ def iteration_summary(scored: DataFrame, ok: Column, iteration: str = "iteration
     )
 
 
+def next_parents(scored: DataFrame, ok: Column, n: int, key: str, scaffold: str | None = None, violation: Column | None = None) -> DataFrame:
+    """The n candidates to go on from; see optimise()."""
+    if violation is not None and scored.where(F.coalesce(ok, F.lit(False))).isEmpty():
+        least = scored.withColumn("__less", -violation)
+        if scaffold is not None:
+            least = best_per_key(least, scaffold, "__less", key)
+        return least.orderBy(F.desc_nulls_last("__less"), F.desc("reward"), key).limit(n).drop("__less")
+    if scaffold is not None:
+        some = not scored.where(F.coalesce(ok, F.lit(False))).isEmpty()
+        scored = best_per_key(scored.where(ok) if some else scored, scaffold, "reward", key)
+    return feasible_or_all(scored, ok, "reward", key, n)
+
+
 def optimise(
     seeds: DataFrame, propose: Callable[[DataFrame, int], DataFrame], axes: Sequence[Axis], ok: Column, iterations: int,
-    select_top: int = 5, k: int = 5, target: float | None = None, key: str = "candidate",
+    select_top: int = 5, k: int = 5, target: float | None = None, key: str = "candidate", scaffold: str | None = None,
+    violation: Column | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Propose, score, filter and reseed; returns the best k, other explored candidates, and the trajectory.
 
     ``propose`` makes candidates (key, axis columns) from parents. Parents are the best feasible
-    candidates, or the best of all if none is. Each iteration is checkpointed, so lineage stays short.
+    candidates; if none is feasible, those of the least ``violation``, or without one the best of all. With a
+    ``scaffold`` column they are the best of as many scaffolds. Each iteration is checkpointed, so lineage stays short.
     """
     from strandline.sources.trajectory import kept
 
@@ -90,7 +105,7 @@ def optimise(
         batch = propose(parents, i).withColumn("iteration", F.lit(i))
         scored = kept(with_reward(batch, axes))
         trajectory = scored if trajectory is None else trajectory.unionByName(scored)
-        parents = feasible_or_all(scored, ok, "reward", key, select_top)
+        parents = next_parents(scored, ok, select_top, key, scaffold, violation)
         if target is not None and scored.agg(F.max("reward")).first()[0] >= target:
             break
     best = trajectory.groupBy(key).agg(F.max_by(F.struct("iteration", "reward"), "reward").alias("b")).select(key, "b.*")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import columns as C
 from strandline.functions.stats import markers, z_scores
+from strandline.operators.joins import broadcast_if_small
 from strandline.operators.relational import top_n_per_group
 from strandline.sources.trajectory import kept
 
@@ -56,20 +57,30 @@ def log_normalised(matrix: DataFrame, target: float = 1e4) -> DataFrame:
 
 def aligned_to_genes(matrix: DataFrame, genes: DataFrame) -> DataFrame:
     """One row for each cell and wanted gene (a bounded list), absent values as 0."""
-    wanted = F.broadcast(genes.select("gene"))
+    wanted = broadcast_if_small(genes.select("gene"))
     cells = matrix.select("cell_id").distinct().join(wanted)
     return cells.join(matrix, ["cell_id", "gene"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
-def variable_genes(matrix: DataFrame, n_top: int, n_cells: int | None = None, bins: int = 20) -> DataFrame:
-    """Genes of the highest dispersion, normalised among genes of like mean; absent values are 0."""
+def variable_genes(matrix: DataFrame, n_top: int, n_cells: int | None = None, bins: int = 20, flavour: str = "default") -> DataFrame:
+    """Genes of the highest dispersion, normalised among genes of like mean; absent values are 0.
+
+    The ``cell_ranger`` flavour takes variance over mean less its median in the bin, over the median distance from it;
+    the default its logarithm less the mean, over the standard deviation.
+    """
     n = n_cells if n_cells is not None else matrix.select("cell_id").distinct().count()
     sums = matrix.groupBy("gene").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"))
     mean = F.col("s") / n
     moments = sums.select("gene", mean.alias("mean"), ((F.col("ss") - F.col("s") * mean) / max(1, n - 1)).alias("var")).where("mean > 0")
-    spread = moments.withColumn("dispersion", F.log(F.col("var") / F.col("mean") + 1e-12))
+    ratio = F.col("var") / F.col("mean")
+    spread = moments.withColumn("dispersion", ratio if flavour == "cell_ranger" else F.log(ratio + 1e-12))
     binned = spread.withColumn("bin", F.ntile(bins).over(Window.orderBy("mean", "gene")))
     own = Window.partitionBy("bin")
+    if flavour == "cell_ranger":
+        middle = binned.withColumn("centre", F.median("dispersion").over(own))
+        away = middle.withColumn("away", F.median(F.abs(F.col("dispersion") - F.col("centre"))).over(own))
+        ranked = away.withColumn("score", (F.col("dispersion") - F.col("centre")) / F.nullif("away", F.lit(0.0)))
+        return ranked.drop("centre", "away").orderBy(F.desc_nulls_last("score"), "gene").limit(n_top)
     sd = F.coalesce(F.nullif(F.stddev_samp("dispersion").over(own), F.lit(0.0)), F.lit(1.0))
     scored = binned.withColumn("score", (F.col("dispersion") - F.avg("dispersion").over(own)) / sd)
     return scored.orderBy(F.desc("score"), "gene").limit(n_top)

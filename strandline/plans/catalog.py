@@ -49,9 +49,8 @@ def query(name: str, oracle: str | None = None):
 )
 def range_join_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    part = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 5).alias("low"), (F.col("p_size") + 5).alias("high"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    inside = F.col("l_quantity").between(F.col("p_size") - 5, F.col("p_size") + 5)
     bucket = (
         F.when(F.col("o_orderstatus") == "F", "finished")
         .when(F.col("o_orderstatus") == "O", "open")
@@ -59,7 +58,7 @@ def range_join_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("other")
     )
     return (
-        line.join(part, (F.col("l_partkey") == F.col("p_partkey")) & inside)
+        J.point_in_interval_join(line, part, ("l_partkey", "p_partkey"), "l_quantity", "low", "high")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .groupBy(bucket.alias("bucket"))
         .agg(F.count("*").alias("n"))
@@ -83,21 +82,9 @@ def array_semi_join(spark, sf_dir):
 
 
 @query("interval_bin_join", """
-SELECT l.l_orderkey, l.l_linenumber, p.p_partkey FROM lineitem l JOIN (SELECT * FROM part WHERE p_partkey % 10 = 0) p
-ON l.l_returnflag = substr(p.p_brand, 1, 0) || 'R' AND l.l_extendedprice BETWEEN p.p_retailprice * 50 AND p.p_retailprice * 50 + 20
-WHERE l.l_suppkey % 5 = 0""")
-def interval_bin_join(spark, sf_dir):
-    spans = table(spark, sf_dir, "part").where("p_partkey % 10 = 0").select("p_partkey", F.lit("R").alias("flag"), (F.col("p_retailprice") * 50).alias("low"))
-    spans = spans.withColumn("high", F.col("low") + 20)
-    points = table(spark, sf_dir, "lineitem").where("l_suppkey % 5 = 0").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
-    joined = J.point_in_interval_join(points, spans, ("l_returnflag", "flag"), "l_extendedprice", "low", "high", bin_width=500)
-    return joined.select("l_orderkey", "l_linenumber", "p_partkey")
-
-
-@query("interval_bin_join_whole", """
 SELECT l.l_orderkey, l.l_linenumber, p.p_partkey FROM lineitem l JOIN part p
 ON l.l_returnflag = 'R' AND l.l_extendedprice BETWEEN p.p_retailprice * 50 AND p.p_retailprice * 50 + 20""")
-def interval_bin_join_whole(spark, sf_dir):
+def interval_bin_join(spark, sf_dir):
     spans = table(spark, sf_dir, "part").select("p_partkey", F.lit("R").alias("flag"), (F.col("p_retailprice") * 50).alias("low"))
     spans = spans.withColumn("high", F.col("low") + 20)
     points = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
@@ -196,7 +183,7 @@ def outer_join_multi(spark, sf_dir):
 
 
 _KNN = """
- q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id < 10),
+ q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id % 50 = 0),
  s AS (SELECT query_id, vec_id AS id, list_cosine_similarity(x, embedding::DOUBLE[]) AS score FROM q, embeddings WHERE vec_id != query_id),
  k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s QUALIFY rank <= 10)
 """
@@ -204,7 +191,7 @@ _KNN = """
 
 def _knn(spark, sf_dir):
     corpus = table(spark, sf_dir, "embeddings")
-    return V.knn(corpus, corpus.where("vec_id < 10"), 10)
+    return V.knn(corpus, corpus.where("vec_id % 50 = 0"), 10)
 
 
 @query("knn_cosine", f"WITH {_KNN} SELECT query_id, id, rank::INT AS rank, round(score, 6) AS score FROM k")
@@ -249,46 +236,6 @@ def neighbour_overlap(spark, sf_dir):
     return J.set_overlaps(_knn(spark, sf_dir).groupBy("query_id").agg(F.collect_set("id").alias("ids")), "query_id", "ids")
 
 
-_WIDE_KNN = _KNN.replace("vec_id < 10)", "vec_id % 50 = 0)")
-
-
-def _wide_knn(spark, sf_dir):
-    corpus = table(spark, sf_dir, "embeddings")
-    return V.knn(corpus, corpus.where("vec_id % 50 = 0"), 10)
-
-
-@query("knn_cosine_whole", f"WITH {_WIDE_KNN} SELECT query_id, id, rank::INT AS rank, round(score, 6) AS score FROM k")
-def knn_cosine_whole(spark, sf_dir):
-    return _wide_knn(spark, sf_dir).withColumn("score", F.round("score", 6))
-
-
-@query("ordered_lookup_whole", f"""WITH {_WIDE_KNN} SELECT query_id, (rank - 1)::INT AS pos, id AS vec_id, label FROM k JOIN embeddings ON vec_id = id""")
-def ordered_lookup_whole(spark, sf_dir):
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"]).alias("ids")
-    return J.ordered_lookup(_wide_knn(spark, sf_dir).groupBy("query_id").agg(ids), "ids", table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
-
-
-@query("idf_vote_whole", f"""WITH {_WIDE_KNN}, f AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
-SELECT query_id, label, round(sum(1 / ln(1 + greatest(1, n))), 6) AS weight FROM k JOIN embeddings ON vec_id = id JOIN f USING (label) GROUP BY 1, 2""")
-def idf_vote_whole(spark, sf_dir):
-    labels = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    return V.label_votes(_wide_knn(spark, sf_dir), labels, "vec_id", "label", frequencies=R.group_counts(labels, "label")).withColumn("weight", F.round("weight", 6))
-
-
-@query("cluster_annotation_whole", f"""WITH {_WIDE_KNN}, v AS (SELECT query_id, label, count(*) AS n FROM k JOIN embeddings ON vec_id = id GROUP BY 1, 2),
-r AS (SELECT *, n / sum(n) OVER (PARTITION BY query_id) AS share, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, label) AS rn FROM v)
-SELECT query_id, label, round(share, 6) AS confidence FROM r WHERE rn = 1""")
-def cluster_annotation_whole(spark, sf_dir):
-    votes = V.label_votes(_wide_knn(spark, sf_dir), table(spark, sf_dir, "embeddings"), "vec_id", "label")
-    return V.annotate(votes, "label").select("query_id", "label", F.round("confidence", 6).alias("confidence"))
-
-
-@query("neighbour_overlap_whole", f"""WITH {_WIDE_KNN}
-SELECT x.query_id AS a, y.query_id AS b, count(*) AS overlap FROM k x JOIN k y ON x.id = y.id AND x.query_id < y.query_id GROUP BY 1, 2""")
-def neighbour_overlap_whole(spark, sf_dir):
-    return J.set_overlaps(_wide_knn(spark, sf_dir).groupBy("query_id").agg(F.collect_set("id").alias("ids")), "query_id", "ids")
-
-
 @query("padjust", """
 WITH p AS (SELECT event_type, event_id, abs(value) / (1 + (SELECT max(abs(value)) FROM events)) AS p FROM events)
 SELECT event_type, event_id, round(least(1.0, p * count(*) OVER (PARTITION BY event_type) / row_number() OVER (PARTITION BY event_type ORDER BY p, event_id)), 8) AS p_adj
@@ -313,29 +260,14 @@ def rank_sum(spark, sf_dir):
 
 
 _TERMS = """
- t AS (SELECT DISTINCT lang AS term, unnest(string_split(substr(text, 1, 400), ' ')) AS gene FROM documents),
- q AS (SELECT DISTINCT unnest(string_split(substr(text, 1, 400), ' ')) AS gene FROM documents WHERE source = 'src1'),
- bg AS (SELECT DISTINCT gene FROM t)"""
-
-
-@query("enrichment_counts", f"""WITH {_TERMS}, s AS (SELECT term, count(*) AS n_term, count(q.gene) AS a FROM t LEFT JOIN q USING (gene) GROUP BY 1)
-SELECT term, a, (SELECT count(*) FROM q) - a AS b, n_term - a AS c, (SELECT count(*) FROM bg) - (SELECT count(*) FROM q) - n_term + a AS d FROM s WHERE a >= 1""")
-def enrichment_counts(spark, sf_dir):
-    words = F.explode(F.split(F.substring("text", 1, 400), " ")).alias("gene")
-    documents = table(spark, sf_dir, "documents")
-    terms = documents.select(F.col("lang").alias("term"), words).distinct()
-    return J.overlap_counts(documents.where("source = 'src1'").select(words), terms, terms.select("gene"))
-
-
-_WHOLE_TERMS = """
  t AS (SELECT DISTINCT lang AS term, unnest(string_split(text, ' ')) AS gene FROM documents),
  q AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS gene FROM documents WHERE source = 'src1'),
  bg AS (SELECT DISTINCT gene FROM t)"""
 
 
-@query("enrichment_counts_whole", f"""WITH {_WHOLE_TERMS}, s AS (SELECT term, count(*) AS n_term, count(q.gene) AS a FROM t LEFT JOIN q USING (gene) GROUP BY 1)
+@query("enrichment_counts", f"""WITH {_TERMS}, s AS (SELECT term, count(*) AS n_term, count(q.gene) AS a FROM t LEFT JOIN q USING (gene) GROUP BY 1)
 SELECT term, a, (SELECT count(*) FROM q) - a AS b, n_term - a AS c, (SELECT count(*) FROM bg) - (SELECT count(*) FROM q) - n_term + a AS d FROM s WHERE a >= 1""")
-def enrichment_counts_whole(spark, sf_dir):
+def enrichment_counts(spark, sf_dir):
     words = F.explode(F.split("text", " ")).alias("gene")
     documents = table(spark, sf_dir, "documents")
     terms = documents.select(F.col("lang").alias("term"), words).distinct()
@@ -409,13 +341,6 @@ def replace_rows(spark, sf_dir):
     return G.replace_rows(region, F.col("r_name") == "ASIA", region.where("r_regionkey < 2").withColumn("r_regionkey", F.col("r_regionkey") + 100))
 
 
-@query("access_check", "SELECT true AS granted")
-def access_check(spark, sf_dir):
-    rows = [("genomics", None, "full", ["users", "lab"], True), ("cells", "qc", "view", ["lab"], False)]
-    schema = "module_name string, submodule_name string, access_level string, groups array<string>, is_active boolean"
-    return G.has_access(spark.createDataFrame(rows, schema), "genomics", "vcf", "view", ["lab"])
-
-
 @query("json_path", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_path(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
@@ -450,17 +375,9 @@ def running_stop_rule(spark, sf_dir):
 
 
 @query("kmers", """
-SELECT doc_id, len(k) AS n_kmers, len(list_distinct(k)) AS n_distinct FROM (
-  SELECT doc_id, list_transform(range(1, greatest(0, length(substr(text, 1, 60)) - 8) + 1), lambda i: substr(text, i, 9)) AS k FROM documents)""")
-def kmers(spark, sf_dir):
-    k = C.kmers(F.substring("text", 1, 60))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(k).cast("long").alias("n_kmers"), F.size(F.array_distinct(k)).cast("long").alias("n_distinct"))
-
-
-@query("kmers_whole", """
 SELECT doc_id, len(k) AS n_kmers, len(list_distinct(k)) AS n_distinct FROM (
   SELECT doc_id, list_transform(range(1, greatest(0, length(text) - 8) + 1), lambda i: substr(text, i, 9)) AS k FROM documents)""")
-def kmers_whole(spark, sf_dir):
+def kmers(spark, sf_dir):
     k = C.kmers(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.size(k).cast("long").alias("n_kmers"), F.size(F.array_distinct(k)).cast("long").alias("n_distinct"))
 
@@ -596,7 +513,7 @@ def tumbling_windows(spark, sf_dir):
 
 @query("smith_waterman")
 def smith_waterman(spark, sf_dir):
-    """Local alignments of the first letters of neighbouring parts' names."""
+    """Local alignments of neighbouring parts' whole names."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.upper(F.regexp_replace("p_name", "[^A-Za-z]", "")).alias("s"))
     other = part.select((F.col("p_partkey") - 1).alias("k"), F.col("s").alias("t"))
     pairs = part.join(other, part.p_partkey == other.k)
@@ -605,8 +522,8 @@ def smith_waterman(spark, sf_dir):
 
 @query("sequence_search")
 def sequence_search(spark, sf_dir):
-    """Vector funnel, then local alignment and ranking, over documents that carry the vectors of the same id."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), F.upper(F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 60)).alias("sequence"))
+    """Vector funnel, then local alignment of the whole sequences and ranking, over parts' names with the vectors of the same id."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq_id"), F.upper(F.regexp_replace("p_name", "[^A-Za-z]", "")).alias("sequence"))
     vectors = table(spark, sf_dir, "embeddings")
-    query_rows = docs.join(vectors.where("vec_id % 50 = 0"), F.col("seq_id") == F.col("vec_id")).select(F.col("vec_id"), "embedding", "sequence")
-    return A.search(query_rows, vectors, docs, top_k=20, min_coverage=0.0)
+    query_rows = parts.join(vectors.where("vec_id % 50 = 0"), F.col("seq_id") == F.col("vec_id")).select(F.col("vec_id"), "embedding", "sequence")
+    return A.search(query_rows, vectors, parts, top_k=20, min_coverage=0.0)

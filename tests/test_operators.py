@@ -281,7 +281,7 @@ def test_kmers_and_words_of_whole_texts(spark, tmp_path):
     rows = [(1, long, "en", "src1"), (2, "", "en", "src2"), (3, "abcdefgh", "de", "src1"), (4, "abcdefghi " * 300 + "last", "de", "src2"), (5, "w " * 500 + "last", "fr", "src1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     df.write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: (r.n_kmers, r.n_distinct) for r in catalog.QUERIES["kmers_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: (r.n_kmers, r.n_distinct) for r in catalog.QUERIES["kmers"](spark, str(tmp_path)).collect()}
     cut = {i: [t[k : k + 9] for k in range(len(t) - 8)] for i, t, *_ in rows}
     assert got == {i: (len(k), len(set(k))) for i, k in cut.items()}
     assert df.where("doc_id = 1").select(columns.kmers(F.col("text"))).first()[0] == cut[1]
@@ -291,7 +291,7 @@ def test_kmers_and_words_of_whole_texts(spark, tmp_path):
         asked |= set(t.split(" ")) if source == "src1" else set()
     every = set().union(*terms.values())
     want = {x: (len(g & asked), len(asked - g), len(g - asked), len(every - g - asked)) for x, g in terms.items() if g & asked}
-    assert {r.term: (r.a, r.b, r.c, r.d) for r in catalog.QUERIES["enrichment_counts_whole"](spark, str(tmp_path)).collect()} == want
+    assert {r.term: (r.a, r.b, r.c, r.d) for r in catalog.QUERIES["enrichment_counts"](spark, str(tmp_path)).collect()} == want
 
 
 def test_every_fiftieth_vector_is_a_query(spark, tmp_path, monkeypatch):
@@ -304,7 +304,7 @@ def test_every_fiftieth_vector_is_a_query(spark, tmp_path, monkeypatch):
     want = {q: np.argsort(-scores[q], kind="stable")[:10].tolist() for q in range(0, 620, 50)}
     monkeypatch.setattr(catalog.V, "QUERY_ROWS", 5)
     got = {}
-    for r in catalog.QUERIES["knn_cosine_whole"](spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+    for r in catalog.QUERIES["knn_cosine"](spark, str(tmp_path)).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.id)
     assert got == want
 
@@ -316,7 +316,7 @@ def test_interval_join_of_whole_tables(spark, tmp_path):
     schema = "l_orderkey long, l_linenumber int, l_returnflag string, l_extendedprice double"
     spark.createDataFrame(line, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
     want = sorted((o, n, p) for o, n, f, x in line for p, r in part if f == "R" and r * 50 <= x <= r * 50 + 20)
-    assert sorted(map(tuple, catalog.QUERIES["interval_bin_join_whole"](spark, str(tmp_path)).collect())) == want and want
+    assert sorted(map(tuple, catalog.QUERIES["interval_bin_join"](spark, str(tmp_path)).collect())) == want and want
 
 
 def test_search_ranks_within_each_query(spark):
@@ -325,3 +325,62 @@ def test_search_ranks_within_each_query(spark):
     asked = vectors.join(letters, vectors.vec_id == letters.seq_id).select("vec_id", "embedding", "sequence")
     found = alignment.search(asked, vectors, letters, top_k=1).groupBy("query_id").count().collect()
     assert len(found) == 1200 and {r["count"] for r in found} == {1}
+
+
+def test_row_numbers_of_a_large_table(spark, tmp_path):
+    """Numbers are 0 to n - 1 in order, though the range partitions are drawn by a sample."""
+    n = 300_000
+    spark.range(n).selectExpr("(id * 7919) % 300007 as v", "id % 11 as g").repartition(9).write.parquet(str(tmp_path / "t"))
+    numbered = relational.with_row_number(spark.read.parquet(str(tmp_path / "t")).repartition(6), "v", "g")
+    found = numbered.agg(F.countDistinct("row_no"), F.min("row_no"), F.max("row_no")).first()
+    assert tuple(found) == (n, 0, n - 1)
+    step = numbered.orderBy("row_no").limit(50_000).select("v").toPandas()["v"]
+    assert step.is_monotonic_increasing
+    sums = relational.sums_before(spark.range(50_000).selectExpr("id as k", "1 as one", "id % 3 as x"), "k", "one", "x")
+    assert sums.where("before_one != k").count() == 0 and sums.where("k = 49999").first().before_x == sum(i % 3 for i in range(49_999))
+
+
+def test_covariates_take_up_what_they_explain(spark):
+    rng = np.random.default_rng(0)
+    batch, noise = rng.integers(0, 2, 80), rng.random(80) < 0.1
+    ill = np.where(noise, 1 - batch, batch)
+    calls = [("chr1", 5, "A", ["C"], [(f"s{i}", [int(batch[i]), int(rng.random() < 0.3)]) for i in range(80)])]
+    variants = spark.createDataFrame(calls, "contigName string, start long, referenceAllele string, alternateAlleles array<string>, genotypes array<struct<sampleId: string, calls: array<int>>>")
+    phenotype = spark.createDataFrame([(f"s{i}", int(ill[i])) for i in range(80)], "sampleId string, phenotype int")
+    beside = spark.createDataFrame([(f"s{i}", float(batch[i])) for i in range(80)], "sampleId string, batch double")
+    plain = genomics.association(variants, phenotype).first().pvalue
+    assert plain < 0.001 < 0.05 < genomics.association(variants, phenotype, covariates=beside).first().pvalue
+
+
+def test_parents_come_from_different_scaffolds(spark):
+    rows = [("a", 0.9, "s1", 0.0), ("b", 0.8, "s1", 0.0), ("c", 0.7, "s2", 0.0), ("d", 0.6, "s3", 5.0)]
+    scored = spark.createDataFrame(rows, "candidate string, reward double, scaffold string, over double")
+    ids = lambda df: [r.candidate for r in df.collect()]
+    ok = F.col("over") == 0
+    assert ids(optimize.next_parents(scored, ok, 3, "candidate", "scaffold")) == ["a", "c"]
+    worse = scored.withColumn("over", F.col("over") + F.when(F.col("candidate") == "c", 1).otherwise(2))
+    assert ids(optimize.next_parents(worse, ok, 2, "candidate", violation=F.col("over"))) == ["c", "a"]
+
+
+def test_cell_ranger_dispersion(spark):
+    rng = np.random.default_rng(2)
+    counts = {f"g{k}": rng.poisson(3, 40).astype(float) for k in range(12)} | {"odd": np.where(rng.random(40) < 0.1, 30.0, 0.0)}
+    rows = [(f"c{i}", g, float(v[i])) for g, v in counts.items() for i in range(40)]
+    matrix = spark.createDataFrame(rows, "cell_id string, gene string, value double")
+    best = singlecell.variable_genes(matrix, 3, bins=1, flavour="cell_ranger").select("gene", "score").collect()
+    ratio = {g: v.var(ddof=1) / v.mean() for g, v in counts.items()}
+    middle = np.median(list(ratio.values()))
+    spread = np.median([abs(x - middle) for x in ratio.values()])
+    want = sorted(((x - middle) / spread, g) for g, x in ratio.items())[::-1][:3]
+    assert [r.gene for r in best] == [g for _, g in want] and best[0].score == pytest.approx(want[0][0])
+
+
+def test_registry_changes_only_what_they_name(spark):
+    rows = [("m", None, ["a", "b", "a"], True), ("m", "sub", ["a"], True), ("m", None, ["a"], False)]
+    table = spark.createDataFrame(rows, "module_name string, submodule_name string, groups array<string>, is_active boolean")
+    table = table.withColumns({"updated_at": F.lit(None).cast("timestamp"), "updated_by": F.lit("old")})
+    done = registry.remove_group(table, "m", None, "a", "new").collect()
+    assert [(r.groups, r.updated_by) for r in done] == [(["b"], "new"), (["a"], "old"), (["a"], "old")]
+    weights = spark.createDataFrame([(1, True), (4, True), (9, False)], "ft_id long, is_active boolean")
+    weights = weights.withColumns({c: F.lit("x") for c in ("ft_label", "dataset_type", "task_names", "weights_volume_location")})
+    assert [r.ft_id for r in registry.fine_tune(weights).collect()] == [4] and registry.fine_tune(weights, 9).count() == 0

@@ -8,6 +8,7 @@ import pytest
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 catalog = importlib.import_module("strandline.plans.catalog")
+importlib.import_module("strandline.plans.domain")
 
 
 @pytest.fixture(scope="session")
