@@ -33,12 +33,14 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove chunks of two lines or more that occur before, and bring n_chars up to date; every document stays.
+    """Remove chunks of two lines or more that occur before, and bring n_chars up to date; what has no line left goes.
 
-    Null texts stay null, with a null n_chars. Rows that repeat id and text keep the same lines; of equal texts the
-    smallest id keeps all, a null id being smallest. An empty table stays empty.
+    So a document that only repeats others goes here, and no other. Null and empty texts stay, null with a null
+    n_chars. Rows that repeat id and text keep the same lines; of equal texts the smallest id keeps all, a null id
+    being smallest. An empty table stays empty.
     """
-    kept = linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    found = linededup.dedup_lines(docs).where("n_lines = 0 or n_removed < n_lines")
+    kept = found.withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(_columns(spark, sf_dir))
 
 
