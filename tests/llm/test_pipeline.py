@@ -22,7 +22,7 @@ def rows_of(df):
 
 
 def plain_lines(rows):
-    """Pairs of neighbouring lines that occur before go; all ids differ here."""
+    """Pairs of neighbouring lines that occur before go, and documents of which nothing is left; all ids differ here."""
     first, out = {}, []
     for i, text, *rest in sorted(rows):
         lines, gone = text.split("\n"), set()
@@ -31,7 +31,8 @@ def plain_lines(rows):
             if home != (i, k):
                 gone |= {k, k + 1} - ({home[1], home[1] + 1} if home[0] == i else set())
         kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
-        out.append((i, kept, *rest[:2], len(kept)))
+        if len(gone) < len(lines):
+            out.append((i, kept, *rest[:2], len(kept)))
     return out
 
 
