@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import hashlib
 import json
-from array import array
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandline.llm.lineage import map_arrow
 
-#: Words that a task's table holds before it is begun anew.
-TABLE_WORDS = 400_000
-#: Characters of text handled at a time.
-SLICE = 1 << 21
+#: Characters of text in a block, in which words are told apart before they are shuffled.
+BLOCK = 1 << 22
+#: Parts that the distinct words are dealt to; a task holds the table of one part at a time.
+BUCKETS = 4096
+#: Begins what stands for a special token among the words' bytes; no UTF-8 has it.
+MARK = b"\xff"
 #: Unicode's White_Space characters, as a regular expression class.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -33,7 +37,7 @@ def _byte_letters() -> list[str]:
 
 
 class WordTable:
-    """Splits texts into words and keeps the ids of each distinct word, encoded once."""
+    """The tokenizer's rules: the words of a text, the ids of a word, the piece of an id."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -53,17 +57,6 @@ class WordTable:
         self.pieces = [""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.pieces[i] = piece
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows: dict = {}
-        self.starts, self.counts, self.flat = array("q"), array("q"), array("I")
-
-    def _add(self, word, ids: list[int]) -> None:
-        self.rows[word] = len(self.rows)
-        self.starts.append(len(self.flat))
-        self.counts.append(len(ids))
-        self.flat.extend(ids)
 
     def split(self, text: str) -> list:
         """Words in order; a special token is its id."""
@@ -89,65 +82,169 @@ class WordTable:
         spelled = [letters for letters, _ in self.library(text)]
         return [bytes(map(self.bytes.__getitem__, x)).decode("utf-8", "surrogatepass") for x in spelled]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text: distinct words are encoded, then joined back by position."""
-        if len(self.rows) > TABLE_WORDS:
-            self.clear()
-        split = [self.split(x) for x in texts]
-        rows = self.rows
-        for word in set().union(*split).difference(rows):
-            if isinstance(word, int):
-                self._add(word, [word])
-            else:
-                letters = "".join([self.letters[b] for b in word.encode("utf-8", "surrogatepass")])
-                self._add(word, [t.id for t in self.model.tokenize(letters)])
-        starts, counts = np.array(self.starts), np.array(self.counts)
-        flat = np.array(self.flat)
-        out = []
-        for words in split:
-            at = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-            n = counts[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.arange(total) + np.repeat(starts[at] - ends + n, n)])
-        return out
-
-    def decode(self, ids: np.ndarray) -> str:
-        """Pieces of the ids, one blank between them."""
-        return " ".join(map(self.pieces.__getitem__, ids.tolist()))
-
-
-def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    row, size, texts = 0, 0, []
-    for i, value in enumerate(column):
-        text = value.as_py() or ""
-        texts.append(text)
-        size += len(text)
-        if size >= SLICE:
-            yield row, texts
-            row, size, texts = i + 1, 0, []
-    if texts:
-        yield row, texts
-
-
-def _run(path: str):
+    def ids(self, word: bytes) -> list[int]:
+        """Ids of one word, given as UTF-8, or of what stands for a special token."""
+        if word.startswith(MARK):
+            return [int(word[len(MARK) :])]
+        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> WordTable:
+    """The rules of a tokenizer file, read once in each Python worker."""
+    return WordTable(path)
+
+
+def _written(word: str | int) -> bytes:
+    return MARK + str(word).encode() if isinstance(word, int) else word.encode("utf-8", "surrogatepass")
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first, so that the shuffle's compression finds the zeros of the higher ones."""
+    return np.ascontiguousarray(numbers, "<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at starts and are counts long, one after the other."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts - ends + counts, counts)]
+
+
+def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, placed: bool) -> Iterator[tuple[str, dict, list]]:
+    """The blocks of a partition in order: name, words numbered by first place, and kept columns with word numbers.
+
+    The name holds a checksum of the block's texts, so that two reads of the input name a block alike only if
+    it has the same texts.
+    """
+    part, made = TaskContext.get().partitionId(), 0
+    words, rows, size, check = {}, [], 0, 0
+    for frame in frames:
+        kept, begun = [], 0
+        for i, value in enumerate(frame.column(0)):
+            text = value.as_py() or ""
+            check = zlib.crc32(MARK + text.encode("utf-8", "surrogatepass"), check)
+            size += len(text)
+            split = table.split(text)
+            for word in dict.fromkeys(split):
+                if word not in words:
+                    words[word] = len(words)
+            if placed:
+                kept.append(_planes(np.fromiter(map(words.__getitem__, split), "<u4", len(split))))
+            if size >= most:
+                rows.append((frame.slice(begun, i + 1 - begun), kept))
+                yield f"{part}-{made}-{check}", words, rows
+                words, rows, size, check, made = {}, [], 0, 0, made + 1
+                kept, begun = [], i + 1
+        if begun < frame.num_rows:
+            rows.append((frame.slice(begun), kept))
+    if rows:
+        yield f"{part}-{made}-{check}", words, rows
+
+
+def _places(path: str, most: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(path)
+        """Documents of each block, their words replaced by the words' numbers in the block."""
+        for block, _, rows in _blocks(_tokenizer(path), frames, most, placed=True):
+            for frame, places in rows:
+                columns = [pa.array([block] * len(places), pa.string()), *frame.columns[1:], pa.array(places, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", *frame.schema.names[1:], "places"])
+
+    return run
+
+
+def _distinct(path: str, most: int, buckets: int):
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct words of each block, dealt to buckets, a row for each bucket."""
+        for block, numbered, _ in _blocks(_tokenizer(path), frames, most, placed=False):
+            if not numbered:
+                continue
+            words = [_written(w) for w in numbered]
+            dealt = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
+            order = np.argsort(dealt, kind="stable")
+            found, firsts = np.unique(dealt[order], return_index=True)
+            runs = [order[a:b] for a, b in zip(firsts, [*firsts[1:], len(order)])]
+            lengths = np.fromiter(map(len, words), "<u4", len(words))
+            columns = [
+                pa.array(found, pa.int32()),
+                pa.array([block] * len(runs), pa.string()),
+                pa.array([_planes(x) for x in runs], pa.binary()),
+                pa.array([_planes(lengths[x]) for x in runs], pa.binary()),
+                pa.array([b"".join([words[i] for i in x.tolist()]) for x in runs], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "numbers", "lengths", "words"])
+
+    return run
+
+
+def _encoded(path: str):
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids of the words of each row; a bucket's rows come together, and each of its words is encoded once."""
+        table, known, current = _tokenizer(path), {}, None
         for frame in frames:
-            for start, texts in _texts(frame.column(0)):
-                ids = table.encode(texts)
-                packed = pa.array([x.astype("<u4").tobytes() for x in ids], pa.large_binary()).cast(pa.binary())
-                decoded = pa.array([table.decode(x) for x in ids], pa.string())
-                rest = [frame.column(i).slice(start, len(texts)) for i in range(1, frame.num_columns)]
-                yield pa.RecordBatch.from_arrays([*rest, packed, decoded], names=names(frame.num_columns - 1))
+            counts, ids = [], []
+            for bucket, lengths, words in zip(*(frame.column(i).to_pylist() for i in (0, 3, 4))):
+                if bucket != current:
+                    known, current = {}, bucket
+                at, found = 0, []
+                for n in _numbers(lengths).tolist():
+                    word = words[at : at + n]
+                    at += n
+                    if word not in known:
+                        known[word] = table.ids(word)
+                    found.append(known[word])
+                counts.append(_planes(np.fromiter(map(len, found), "<u4", len(found))))
+                ids.append(_planes(np.array([i for x in found for i in x], "<u4")))
+            columns = [frame.column(1), frame.column(2), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "numbers", "counts", "ids"])
+
+    return run
 
-    def names(n: int) -> list[str]:
-        return [*(f"c{i}" for i in range(n)), "ids", "decoded"]
+
+def _joined(path: str):
+    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
+        """Ids joined to a block's documents by position, and pieces to the ids."""
+        numbers, counts, flat = (
+            np.concatenate([np.zeros(0, "<u4"), *map(_numbers, words.column(c).to_pylist())]).astype(np.int64)
+            for c in ("numbers", "counts", "ids")
+        )
+        places = [_numbers(x).astype(np.int64) for x in documents.column("places").to_pylist()]
+        if len(numbers) != 1 + max((int(x.max()) for x in places if len(x)), default=-1):
+            raise RuntimeError("two reads of the documents differ; write or checkpoint them first")
+        at = np.argsort(numbers)
+        starts, counts = (np.cumsum(counts) - counts)[at], counts[at]
+        pieces = pa.array(_tokenizer(path).pieces, pa.string())
+        packed, decoded = [], []
+        for x in places:
+            ids = _gathered(flat, starts[x], counts[x])
+            packed.append(ids.astype("<u4").tobytes())
+            decoded.append(" ".join(pieces.take(pa.array(ids)).to_pylist()))
+        kept = documents.drop_columns(["block", "places"])
+        kept = kept.append_column("ids", pa.array(packed, pa.binary()))
+        return kept.append_column("decoded", pa.array(decoded, pa.string()))
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _pin_splits(spark: SparkSession) -> None:
+    """Let the division of files into partitions not follow the number of executors, so that two reads divide alike."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
+def encode_decode(
+    docs: DataFrame,
+    path: str,
+    text_col: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    block: int = BLOCK,
+    buckets: int = BUCKETS,
+) -> DataFrame:
     """Encode every whole text with a byte-level word BPE, and decode the ids again.
 
     ``path`` names a tokenizer file that each executor can open. Returns the ``keep`` columns,
@@ -155,15 +252,25 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tupl
     with blanks between them, special tokens included). Equal to the tokenizers library's encode with
     add_special_tokens=False and decode with skip_special_tokens=False.
 
-    Each task splits its texts into words, encodes each distinct word once, and joins the ids back by
-    position; no row is shuffled. The table starts anew after TABLE_WORDS words, so memory is
-    bounded. A null text counts as empty and has no ids; repeated rows repeat their result; columns
-    not kept are ignored; an empty table gives no rows.
+    Texts are split by blocks of at least ``block`` characters, or what is left of a partition. The distinct words of a block are
+    dealt by hash to ``buckets`` buckets, a packed row for each, so that a frequent word comes once from
+    each block; a bucket's words are encoded once each. Their ids go back to the block, where they are
+    joined to the documents by position, and the pieces of the vocabulary to the ids. Texts are not
+    shuffled, word numbers are. A task holds one block, or one bucket's words.
+
+    The documents are read twice by the same plan, and have to come in the same order and partitions, as files,
+    checkpoints and shuffles of them do; if they differ, the job fails. A null text counts as empty and has no ids;
+    repeated rows repeat their result; columns not kept are ignored; an empty table gives no rows.
     """
-    chosen = docs.select(F.col(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+    _pin_splits(docs.sparkSession)
     fields = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.select(*keep).dtypes))
-    coded = map_arrow(chosen, _run(path), f"{fields}, ids binary, decoded string")
-    return coded.toDF(*keep, "ids", "decoded")
+    chosen = docs.select(F.col(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+    places = map_arrow(chosen, _places(path, block), f"block string, {fields}, places binary")
+    distinct = "bucket int, block string, numbers binary, lengths binary, words binary"
+    words = map_arrow(chosen, _distinct(path, block, buckets), distinct).repartition("bucket").sortWithinPartitions("bucket")
+    ids = map_arrow(words, _encoded(path), "block string, numbers binary, counts binary, ids binary")
+    both = places.groupBy("block").cogroup(ids.groupBy("block"))
+    return both.applyInArrow(_joined(path), f"{fields}, ids binary, decoded string").toDF(*keep, "ids", "decoded")
 
 
 def unpack(packed: bytes) -> list[int]:

@@ -121,11 +121,27 @@ def test_bpe_equals_the_library(docs, texts):
     assert sorted(((r.doc_id, bpe.unpack(r.ids), r.decoded) for r in coded), key=repr) == sorted(want, key=repr)
 
 
-def test_bpe_table_starts_anew(monkeypatch):
-    monkeypatch.setattr(bpe, "TABLE_WORDS", 3)
-    table, tokenizer = bpe.WordTable(TOKENIZER), Tokenizer.from_file(TOKENIZER)
-    for text in ("alpha beta gamma delta", "beta epsilon", "₞ x", "don't"):
-        assert table.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+def test_bpe_in_blocks_and_buckets(spark, tmp_path):
+    rng = random.Random(8)
+    odd = ["don't", "₞", "ẞtraße", "[UNK]", "[SEP]x", "x" * 300, "1234567", "a\u0301", "\u200b", "你好"]
+    texts = [" ".join(rng.choice(odd) if rng.random() < 0.2 else words(rng, 1) for _ in range(rng.randrange(80))) for _ in range(120)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want = {}
+    for i, t in enumerate(texts):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        want[i] = (ids, tokenizer.decode(ids, skip_special_tokens=False))
+    for block, buckets in ((1, 1), (700, 5), (1 << 22, 4096)):
+        coded = bpe.encode_decode(spark.read.parquet(str(tmp_path / "docs")), TOKENIZER, block=block, buckets=buckets).collect()
+        assert len(coded) == len(texts) and {r.doc_id: (bpe.unpack(r.ids), r.decoded) for r in coded} == want
+
+
+def test_bpe_refuses_documents_that_differ_when_read_again(spark):
+    shaken = spark.range(20).selectExpr("id doc_id").mapInPandas(
+        lambda frames: (x.assign(text=[str(random.SystemRandom().random()) for _ in x.index]) for x in frames), "doc_id long, text string"
+    )
+    with pytest.raises(Exception, match="two reads of the documents differ"):
+        bpe.encode_decode(shaken, TOKENIZER).collect()
 
 
 def test_shards_are_even_and_keep_groups(docs, texts):
