@@ -207,7 +207,7 @@ def _encoded(path: str):
 
 def _joined(path: str):
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
-        """Ids joined to a block's documents by position, and pieces to the ids."""
+        """Pieces joined to the ids of each word, and both to the block's documents by position."""
         numbers, counts, flat = (
             np.concatenate([np.zeros(0, "<u4"), *map(_numbers, words.column(c).to_pylist())]).astype(np.int64)
             for c in ("numbers", "counts", "ids")
@@ -217,12 +217,12 @@ def _joined(path: str):
             raise RuntimeError("two reads of the documents differ; write or checkpoint them first")
         at = np.argsort(numbers)
         starts, counts = (np.cumsum(counts) - counts)[at], counts[at]
-        pieces = pa.array(_tokenizer(path).pieces, pa.string())
+        names = list(map(_tokenizer(path).pieces.__getitem__, flat.tolist()))
+        spelled = [" ".join(names[a : a + n]) for a, n in zip(starts.tolist(), counts.tolist())]
         packed, decoded = [], []
         for x in places:
-            ids = _gathered(flat, starts[x], counts[x])
-            packed.append(ids.astype("<u4").tobytes())
-            decoded.append(" ".join(pieces.take(pa.array(ids)).to_pylist()))
+            packed.append(_gathered(flat, starts[x], counts[x]).astype("<u4").tobytes())
+            decoded.append(" ".join(map(spelled.__getitem__, x.tolist())))
         kept = documents.drop_columns(["block", "places"])
         kept = kept.append_column("ids", pa.array(packed, pa.binary()))
         return kept.append_column("decoded", pa.array(decoded, pa.string()))
@@ -255,7 +255,7 @@ def encode_decode(
     Texts are split by blocks of at least ``block`` characters, or what is left of a partition. The distinct words of a block are
     dealt by hash to ``buckets`` buckets, a packed row for each, so that a frequent word comes once from
     each block; a bucket's words are encoded once each. Their ids go back to the block, where they are
-    joined to the documents by position, and the pieces of the vocabulary to the ids. Texts are not
+    joined to the vocabulary's pieces and then, by position, to the documents. Texts are not
     shuffled, word numbers are. A task holds one block, or one bucket's words.
 
     The documents are read twice by the same plan, and have to come in the same order and partitions, as files,
