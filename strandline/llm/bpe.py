@@ -115,6 +115,14 @@ def _gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.
     return values[np.arange(total) + np.repeat(starts - ends + counts, counts)]
 
 
+class _Numbered(dict):
+    """Numbers words by the place where each comes first."""
+
+    def __missing__(self, word: str | int) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, placed: bool) -> Iterator[tuple[str, dict, list]]:
     """The blocks of a partition in order: name, words numbered by first place, and kept columns with word numbers.
 
@@ -122,7 +130,7 @@ def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, place
     it has the same texts.
     """
     part, made = TaskContext.get().partitionId(), 0
-    words, rows, size, check = {}, [], 0, 0
+    words, rows, size, check = _Numbered(), [], 0, 0
     for frame in frames:
         kept, begun = [], 0
         for i, value in enumerate(frame.column(0)):
@@ -130,15 +138,13 @@ def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, place
             check = zlib.crc32(MARK + text.encode("utf-8", "surrogatepass"), check)
             size += len(text)
             split = table.split(text)
-            for word in dict.fromkeys(split):
-                if word not in words:
-                    words[word] = len(words)
+            places = np.fromiter(map(words.__getitem__, split), "<u4", len(split))
             if placed:
-                kept.append(_planes(np.fromiter(map(words.__getitem__, split), "<u4", len(split))))
+                kept.append(_planes(places))
             if size >= most:
                 rows.append((frame.slice(begun, i + 1 - begun), kept))
                 yield f"{part}-{made}-{check}", words, rows
-                words, rows, size, check, made = {}, [], 0, 0, made + 1
+                words, rows, size, check, made = _Numbered(), [], 0, 0, made + 1
                 kept, begun = [], i + 1
         if begun < frame.num_rows:
             rows.append((frame.slice(begun), kept))
