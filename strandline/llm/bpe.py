@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from strandline.llm.lineage import map_arrow
 
 #: Characters of text in a block, in which words are told apart before they are shuffled.
-BLOCK = 1 << 22
+BLOCK = 1 << 24
 #: Parts that the distinct words are dealt to; a task holds the table of one part at a time.
 BUCKETS = 4096
 #: Begins what stands for a special token among the words' bytes; no UTF-8 has it.
@@ -132,7 +132,7 @@ def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, place
     part, made = TaskContext.get().partitionId(), 0
     words, rows, size, check = _Numbered(), [], 0, 0
     for frame in frames:
-        kept, begun = [], 0
+        rest, kept, begun = frame.select(frame.schema.names[1:]), [], 0
         for i, value in enumerate(frame.column(0)):
             text = value.as_py() or ""
             check = zlib.crc32(MARK + text.encode("utf-8", "surrogatepass"), check)
@@ -142,12 +142,12 @@ def _blocks(table: WordTable, frames: Iterator[pa.RecordBatch], most: int, place
             if placed:
                 kept.append(_planes(places))
             if size >= most:
-                rows.append((frame.slice(begun, i + 1 - begun), kept))
+                rows.append((rest.slice(begun, i + 1 - begun), kept))
                 yield f"{part}-{made}-{check}", words, rows
                 words, rows, size, check, made = _Numbered(), [], 0, 0, made + 1
                 kept, begun = [], i + 1
         if begun < frame.num_rows:
-            rows.append((frame.slice(begun), kept))
+            rows.append((rest.slice(begun), kept))
     if rows:
         yield f"{part}-{made}-{check}", words, rows
 
@@ -157,8 +157,8 @@ def _places(path: str, most: int):
         """Documents of each block, their words replaced by the words' numbers in the block."""
         for block, _, rows in _blocks(_tokenizer(path), frames, most, placed=True):
             for frame, places in rows:
-                columns = [pa.array([block] * len(places), pa.string()), *frame.columns[1:], pa.array(places, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", *frame.schema.names[1:], "places"])
+                columns = [pa.array([block] * len(places), pa.string()), *frame.columns, pa.array(places, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", *frame.schema.names, "places"])
 
     return run
 
