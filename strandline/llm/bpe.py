@@ -228,7 +228,7 @@ def _joined(path: str):
         packed, decoded = [], []
         for x in places:
             packed.append(_gathered(flat, starts[x], counts[x]).astype("<u4").tobytes())
-            decoded.append(" ".join(map(spelled.__getitem__, x.tolist())))
+            decoded.append(" ".join(map(spelled.__getitem__, x[counts[x] > 0].tolist())))
         kept = documents.drop_columns(["block", "places"])
         kept = kept.append_column("ids", pa.array(packed, pa.binary()))
         return kept.append_column("decoded", pa.array(decoded, pa.string()))
