@@ -19,7 +19,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def windows(text: Column, with_lines: bool = True) -> Column:
-    """Every two neighbouring lines of a text as (first, last, mark, run): line numbers from 1, rolling hash, the lines.
+    """Every two neighbouring lines of a text as (first, last, mark, run): line numbers from 1, rolling hash, digest.
+
+    ``run`` is the first 128 bits of the lines' SHA-256, so that what is shuffled for a window does not grow with its lines.
 
     The rolling hash (a cyclic polynomial) of a window follows from the hashes of its lines alone, so a passage
     has the same hashes wherever it stands.
@@ -30,7 +32,8 @@ def windows(text: Column, with_lines: bool = True) -> Column:
             own = F.get(hashes, i)
             turned = F.shiftleft(own, 1).bitwiseXOR(F.shiftrightunsigned(own, 63))
             mark = turned.bitwiseXOR(F.get(hashes, i + 1)).alias("mark")
-            run = F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1)).alias("run")
+            both = F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1)).cast("binary")
+            run = F.unhex(F.substring(F.sha2(both, 256), 1, 32)).alias("run")
             return F.struct((i + 1).alias("first"), (i + 2).alias("last"), mark, *[run] * with_lines)
 
         count = F.size(lines) - 1
@@ -44,7 +47,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A chunk is a run of lines whose windows of two have rolling hashes that occur elsewhere too: its boundaries
     are where the text stops being repeated, and do not move with what is inserted further up. Windows of
-    equal hashes are compared byte for byte, by grouping on their lines. A line is removed if it and a
+    equal hashes are told apart by 128 bits of SHA-256 of their lines. A line is removed if it and a
     neighbour follow each other in the same way in a text of smaller id or further up, so a repeated
     chunk goes from its first line to its last. Lines of the first copy of two lines are not removed as part of a
     copy that overlaps it ("x" four times leaves it twice). Every line stays somewhere in the table; a repeated

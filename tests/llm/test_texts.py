@@ -242,6 +242,14 @@ def test_short_repeated_passages_go_whole(spark):
     assert all(r.n_lines - r.n_removed == (len(r.text.split("\n")) if r.text else r.n_lines - r.n_removed) for r in got)
 
 
+def test_windows_do_not_carry_their_lines(spark):
+    """What is shuffled for a window is of one size, however long its lines are, and differs with them."""
+    df = spark.createDataFrame([("a\nb\na\nb",), ("a" * 9000 + "\nb\n" + "é" * 9000,)], "text string")
+    runs = [[bytes(w.run) for w in r.w] for r in df.select(linededup.windows(df.text).alias("w")).collect()]
+    assert runs[0] == [hashlib.sha256(x).digest()[:16] for x in (b"a\nb", b"b\na", b"a\nb")]
+    assert runs[1] == [hashlib.sha256(x.encode()).digest()[:16] for x in ("a" * 9000 + "\nb", "b\n" + "é" * 9000)]
+
+
 def test_windows_resist_shifts(spark):
     lines = [f"line {i} of many" for i in range(50)]
     df = spark.createDataFrame([("\n".join(lines),), ("\n".join(["new"] + lines),), ("one",), ("",)], "text string")
