@@ -9,9 +9,13 @@ from strandline.operators.relational import daily_trend, five_numbers, group_cou
 
 
 def usage_fact(usage: DataFrame, timeline: DataFrame, application: str) -> DataFrame:
-    """One row for each usage record of an application, with the newest run of its job and its seconds."""
+    """One row for each usage record of an application, with the newest run of its job and its seconds.
+
+    Only the newest row of each (workspace, job, run) is joined, so a job of many rows does not multiply the records.
+    """
     u = usage.where(F.try_element_at("custom_tags", F.lit("application")) == application)
-    t = timeline.select("workspace_id", "job_id", "run_id", "period_start_time", "termination_code")
+    newest = F.max(F.struct("period_start_time", "termination_code")).alias("newest")
+    t = timeline.groupBy("workspace_id", "job_id", "run_id").agg(newest).select("workspace_id", "job_id", "run_id", "newest.*")
     on = (
         (u.workspace_id == t.workspace_id)
         & (u["usage_metadata.job_id"] == t.job_id)

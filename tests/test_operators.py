@@ -21,6 +21,23 @@ chrX\t20\t.\tAG\tA\t.\t.\tAC=1,3\tGT\t./.\t0/0
 """
 
 
+def joined_rows(df):
+    """Rows made by the joins of a DataFrame's plan when it is collected."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        made = node.metrics().get("numOutputRows") if "Join" in name else None
+        children = node.children()
+        return (made.get().value() if made is not None and made.isDefined() else 0) + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
 def test_vcf(spark, tmp_path):
     (tmp_path / "a.vcf").write_text(VCF)
     a, b = files.read_vcf(spark, str(tmp_path / "a.vcf")).orderBy("contigName").collect()
@@ -237,6 +254,19 @@ def test_dashboard(spark):
     assert {k: v.count() for k, v in dashboards.widgets(fact).items()} == dict.fromkeys(("counters", "trend", "products", "heatmap", "boxes"), 1)
 
 
+def test_usage_records_meet_one_run_each(spark):
+    """A job with many rows does not multiply its records; nulls count as older than all, and no run leaves nulls."""
+    usage = spark.range(300).selectExpr("concat('r', id) record_id", "cast(id % 3 as string) workspace_id", "timestamp'2024-01-01 00:00:00' usage_start_time",
+        "timestamp'2024-01-01 00:01:00' usage_end_time", "date'2024-01-01' usage_date", "1.0D usage_quantity", "map('application', 'app') custom_tags",
+        "named_struct('job_id', 1, 'job_run_id', id % 2) usage_metadata", "'JOBS' billing_origin_product")
+    timeline = spark.range(2000).selectExpr("cast(id % 2 as string) workspace_id", "1 job_id", "0 run_id", "if(id < 10, null, id div 4) period_start_time", "if(id % 4 < 2, null, 'c' || id) termination_code")
+    fact = dashboards.usage_fact(usage, timeline, "app")
+    assert joined_rows(fact) <= 300
+    want = {"0": (499, "c1998"), "1": (499, "c1999"), "2": (None, None)}
+    got = fact.join(usage.select("record_id", "usage_metadata.job_run_id"), "record_id").collect()
+    assert len(got) == 300 and all((r.period_start_time, r.termination_code) == (want[r.workspace_id] if r.job_run_id == 0 else (None, None)) for r in got)
+
+
 def test_relational_extras(spark):
     df = spark.createDataFrame([(1, 5.0), (2, None), (3, 9.0)], "ord long, s double")
     assert [r.ord for r in relational.select_top_k(df, "s", 2).collect()] == [3, 1]
