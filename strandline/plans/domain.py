@@ -61,8 +61,7 @@ def panel_genes(spark, sf_dir):
     low = F.col("p_size").cast("long") * 10
     chrom = F.concat(F.lit("chr"), (F.col("p_partkey") % 5).cast("string"))
     panel = table(spark, sf_dir, "part").select(chrom.alias("chrom"), low.alias("chromStart"), (low + 5).alias("chromEnd"), F.col("p_brand").alias("name"))
-    found = V.in_panel(_variants(spark, sf_dir), panel, bin_width=50)
-    return found.groupBy("gene").agg(F.count("*").alias("n"), F.sum("start").alias("places"))
+    return V.panel_counts(_variants(spark, sf_dir), panel, bin_width=50)
 
 
 _REGIONS = [{"name": "first", "contig": "chr1", "start": 100, "end": 300}, {"name": "second", "contig": "chr3", "start": 0, "end": 999}]

@@ -114,6 +114,16 @@ def test_association_finds_the_effect(spark):
     assert (summary.total, summary.significant, summary.suggestive) == (3, 1, 1)
 
 
+def test_panel_counts_without_pairs(spark):
+    """Equal places and intervals are joined once, and counted as the pairs are."""
+    v = spark.range(3000).selectExpr("if(id % 7 = 0, null, concat('chr', id % 2)) contigName", "if(id % 11 = 0, null, id % 30) start")
+    panel = spark.range(500).selectExpr("concat('chr', id % 3) chrom", "id % 5 * 6 chromStart", "id % 5 * 6 + if(id % 4 = 3, -1, 9) chromEnd", "if(id % 10 = 0, null, concat('g', id % 4)) name")
+    pairs = genomics.in_panel(v, panel, 7).groupBy("gene").agg(F.count("*").alias("n"), F.sum("start").alias("places"))
+    found = genomics.panel_counts(v, panel, 7)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, pairs.collect()), key=repr) != []
+    assert 100 * joined_rows(genomics.panel_counts(v, panel, 7)) < genomics.in_panel(v, panel, 7).count()
+
+
 def test_annotation(spark):
     v = spark.createDataFrame([("chr1", 15, "A", ["G"], 9.0, [("s", [1, 1])]), ("chr2", 15, "A", ["G"], 9.0, [("s", [0, 1])])],
         "contigName string, start long, referenceAllele string, alternateAlleles array<string>, qual double, genotypes array<struct<sampleId:string,calls:array<int>>>")
