@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +31,20 @@ def carried_variants(variants: DataFrame, phenotype: DataFrame) -> DataFrame:
 
 
 def restrict_samples(variants: DataFrame, samples: DataFrame) -> DataFrame:
-    """Genotypes of the given samples only; the ids, SAMPLES at most, travel as one broadcast array row."""
-    if samples.select("sampleId").distinct().limit(SAMPLES + 1).count() > SAMPLES:
+    """Genotypes of the given samples only; the ids, SAMPLES at most, travel to the tasks, which look each genotype's id up."""
+    ids = samples.select("sampleId").where("sampleId is not null").distinct().limit(SAMPLES + 1).toArrow().column(0)
+    if len(ids) > SAMPLES:
         raise ValueError(f"more than {SAMPLES} samples")
-    ids = samples.agg(F.collect_set("sampleId").alias("__ids"))
-    kept = C.kept_samples(F.col("genotypes"), F.col("__ids"))
-    return variants.join(F.broadcast(ids)).withColumn("genotypes", kept).drop("__ids")
+    known = variants.sparkSession.sparkContext.broadcast(ids.combine_chunks())
+
+    @F.arrow_udf("array<boolean>")
+    def among(own: pa.Array) -> pa.Array:
+        found = pc.is_in(own.flatten(), value_set=known.value)
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+
+    marked = variants.withColumn("__among", among(F.transform("genotypes", lambda g: g["sampleId"])))
+    return marked.withColumn("genotypes", F.filter("genotypes", lambda g, i: F.get("__among", i))).drop("__among")
 
 
 def trimmed(variants: DataFrame) -> DataFrame:

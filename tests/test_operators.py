@@ -124,6 +124,16 @@ def test_panel_counts_without_pairs(spark):
     assert 100 * joined_rows(genomics.panel_counts(v, panel, 7)) < genomics.in_panel(v, panel, 7).count()
 
 
+def test_samples_are_looked_up(spark):
+    """The ids are no column of the rows; unknown and null ids go, null and empty lists stay."""
+    rows = [(1, [("a", [0, 1]), ("b", [1, 1]), (None, [0, 0]), ("a", [0, 0])]), (2, None), (3, []), (4, [("c", [0, 0])]), (5, [("b", None), None])]
+    v = spark.createDataFrame(rows, "id long, genotypes array<struct<sampleId:string,calls:array<int>>>").repartition(2)
+    for ids, want in ((["a", "a", None, "z"], {1: ["a", "a"], 2: None, 3: [], 4: [], 5: []}), (["b", "c"], {1: ["b"], 2: None, 3: [], 4: ["c"], 5: ["b"]}), ([], {1: [], 2: None, 3: [], 4: [], 5: []})):
+        kept = genomics.restrict_samples(v, spark.createDataFrame([(x,) for x in ids], "sampleId string"))
+        assert {r.id: r.genotypes and [g.sampleId for g in r.genotypes] for r in kept.collect()} == want and kept.columns == v.columns
+        assert "Join" not in kept._jdf.queryExecution().toString()
+
+
 def test_annotation(spark):
     v = spark.createDataFrame([("chr1", 15, "A", ["G"], 9.0, [("s", [1, 1])]), ("chr2", 15, "A", ["G"], 9.0, [("s", [0, 1])])],
         "contigName string, start long, referenceAllele string, alternateAlleles array<string>, qual double, genotypes array<struct<sampleId:string,calls:array<int>>>")
