@@ -13,6 +13,9 @@ from strandline.llm import bpe, linededup, minhash, mixing, quality
 from strandline.llm.lineage import checkpoint_dir, cut, remove
 from strandline.session import table
 
+#: Characters of a block in the last stage, half of bpe's: executors still hold memory of the stages before.
+BLOCK = 1 << 23
+
 #: The stages are a classifier, a similarity search and a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -102,7 +105,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text has no ids; repeated rows repeat their result; an empty table stays empty.
     """
-    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=("doc_id", "lang", "source"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode_decode(docs, path, keep=("doc_id", "lang", "source"), block=BLOCK)
     return coded.select(
         "doc_id",
         "lang",

@@ -22,6 +22,8 @@ from strandline.llm.lineage import map_arrow
 BLOCK = 1 << 24
 #: Parts that the distinct words are dealt to; a task holds the table of one part at a time.
 BUCKETS = 4096
+#: Documents of a block whose ids and decoded texts are held as Python objects at a time.
+SLICE = 256
 #: Begins what stands for a special token among the words' bytes; no UTF-8 has it.
 MARK = b"\xff"
 #: Unicode's White_Space characters, as a regular expression class.
@@ -218,20 +220,25 @@ def _joined(path: str):
             np.concatenate([np.zeros(0, "<u4"), *map(_numbers, words.column(c).to_pylist())]).astype(np.int64)
             for c in ("numbers", "counts", "ids")
         )
-        places = [_numbers(x).astype(np.int64) for x in documents.column("places").to_pylist()]
-        if len(numbers) != 1 + max((int(x.max()) for x in places if len(x)), default=-1):
+        column = documents.column("places")
+        most = max((int(own.max()) for x in column if len(own := _numbers(x.as_py()))), default=-1)
+        if len(numbers) != 1 + most:
             raise RuntimeError("two reads of the documents differ; write or checkpoint them first")
         at = np.argsort(numbers)
         starts, counts = (np.cumsum(counts) - counts)[at], counts[at]
         names = list(map(_tokenizer(path).pieces.__getitem__, flat.tolist()))
         spelled = [" ".join(names[a : a + n]) for a, n in zip(starts.tolist(), counts.tolist())]
-        packed, decoded = [], []
-        for x in places:
-            packed.append(_gathered(flat, starts[x], counts[x]).astype("<u4").tobytes())
-            decoded.append(" ".join(map(spelled.__getitem__, x[counts[x] > 0].tolist())))
-        kept = documents.drop_columns(["block", "places"])
-        kept = kept.append_column("ids", pa.array(packed, pa.binary()))
-        return kept.append_column("decoded", pa.array(decoded, pa.string()))
+        del names
+        kept, done = documents.drop_columns(["block", "places"]), []
+        for begin in range(0, len(column), SLICE):
+            packed, decoded = [], []
+            for value in column.slice(begin, SLICE):
+                x = _numbers(value.as_py()).astype(np.int64)
+                packed.append(_gathered(flat, starts[x], counts[x]).astype("<u4").tobytes())
+                decoded.append(" ".join(map(spelled.__getitem__, x[counts[x] > 0].tolist())))
+            some = kept.slice(begin, SLICE).append_column("ids", pa.array(packed, pa.binary()))
+            done.append(some.append_column("decoded", pa.array(decoded, pa.string())))
+        return pa.concat_tables(done)
 
     return run
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -205,6 +206,18 @@ def test_mix_takes_small_sources_to_their_target(spark):
         assert sum(r.taken for r in own) == own[0].target == 3 * own[0].source_size
 
 
+def test_words_are_joined_to_few_documents_at_a_time():
+    """The result of a block comes in pieces, so that neither its ids nor its texts are all held as Python objects."""
+    table, n = bpe.WordTable(TOKENIZER), 2 * bpe.SLICE + 1
+    ids = [table.ids(w) for w in (b"the", b" wordless")]
+    docs = pa.table({"block": ["b"] * n, "c0": list(range(n)), "places": [bpe._planes(np.array([k % 2] * (k % 3), "<u4")) for k in range(n)]})
+    words = pa.table({"numbers": [bpe._planes(np.array([0, 1]))], "counts": [bpe._planes(np.array([*map(len, ids)]))], "ids": [bpe._planes(np.array(sum(ids, [])))]})
+    found = bpe._joined(TOKENIZER)(docs, words)
+    assert [b.num_rows for b in found.to_batches()] == [bpe.SLICE, bpe.SLICE, 1]
+    assert [bpe.unpack(x) for x in found.column("ids").to_pylist()] == [ids[k % 2] * (k % 3) for k in range(n)]
+    assert found.column("decoded").to_pylist() == [" ".join(table.pieces[i] for i in ids[k % 2] * (k % 3)) for k in range(n)]
+
+
 def test_line_dedup_equals_brute_force(docs, texts):
     """Pairs of lines in order of id and place; equal rows are one document."""
     known = sorted({(i is not None, i or 0, t) for i, t in texts if t is not None}, key=lambda r: (r[0], r[1], xx(r)))
