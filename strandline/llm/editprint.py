@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.components import link_buckets, numbered
-from strandline.llm.lineage import cut, map_arrow
+from strandline.llm.components import connected_components, numbered
+from strandline.llm.lineage import cut, map_arrow, release
 from strandline.llm.words import mix
 
 #: Coordinates of an embedding that a fingerprint samples: about this many of 2^level.
@@ -32,6 +33,22 @@ DIGITS, REACH, BANDS = 12, 40, 64
 SHARE = 0.08
 #: Characters of the grams that texts so near must share.
 SHARED = 5
+#: A sketch has a digit of 1 to 15 for each of BINS bins of these grams, 0 where a bin is empty.
+BINS = 256
+#: Standard errors below the digits expected at the very bound down to which a pair is aligned.
+ERRORS = 4.5
+#: Lengths of a class, as a power of the ratio of lengths that near texts may have.
+CLASS = 3
+#: Rows of a bucket that one task compares with as many others at a time.
+BLOCK = 2048
+#: Likely pairs that are aligned for each part of a bucket, most alike first, in the rounds before the last.
+LIKELY = (4, 8, 32)
+#: Characters of texts that are banded together, about.
+STRETCH = 1 << 16
+#: Characters of texts whose grams are held for the next pairs.
+PREPARED = 1 << 21
+#: Pairs compared at a time, and columns of an alignment between two looks at whether it can still be near.
+PAIRS, COLUMNS = 1 << 15, 128
 
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
@@ -288,42 +305,70 @@ def _band() -> np.ndarray:
     return np.sort(np.random.default_rng(411).choice(REACH, DIGITS, replace=False))
 
 
+@lru_cache(maxsize=1)
+def _near_steps() -> np.ndarray:
+    """The step table from coordinates below 64 on, where longer steps end beyond REACH all the same."""
+    return np.minimum(_steps().reshape(KINDS, PERIOD)[:, :64], 64).astype(np.uint8).reshape(-1)
+
+
+def _piece_keys(joined: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The band of the piece at each start: the characters at the sampled coordinates of its walk."""
+    at = np.zeros(len(starts), np.uint8)
+    pieces, first = np.empty((PIECE, len(starts)), np.uint32), np.empty((PIECE, len(starts)), np.uint8)
+    for k in range(PIECE):
+        pieces[k], first[k] = joined.take(starts + k), at
+        kinds = (pieces[k] * np.uint32(0x9E3779B1)) >> np.uint32(24)
+        at = np.minimum(at + _near_steps().take((kinds << np.uint32(6)) + at), 63)
+    keys, every = np.zeros(len(starts), np.uint64), np.arange(len(starts))
+    for j in _band():
+        place = np.add.reduce(first <= np.uint8(j), axis=0, dtype=np.uint8).astype(np.int64) - 1
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + pieces.reshape(-1).take(place * len(starts) + every))
+    return keys
+
+
+def _band_keys(texts: list[np.ndarray]) -> list[np.ndarray]:
+    """band_keys() of some texts, taken together, each with zeros behind it."""
+    zeros = np.zeros(PIECE + GRAM, np.uint32)
+    joined = np.concatenate([x for text in texts for x in (text, zeros)])
+    lengths = np.array([len(x) for x in texts])
+    begins = np.append(0, np.cumsum(lengths + len(zeros)))
+    starts, keys = [], []
+    for begin in range(0, len(joined), STRETCH):
+        end = min(len(joined) - GRAM, begin + STRETCH)
+        if end <= begin:
+            break
+        stretch = joined[begin : end + GRAM].astype(np.uint64)
+        total = np.zeros(end - begin, np.uint64)
+        for k in range(GRAM):
+            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + stretch[k : end - begin + k])
+        chosen = total % np.uint64(SPACING) == 0
+        heads = begins[np.searchsorted(begins, begin) : np.searchsorted(begins, end)]
+        chosen[heads - begin] = True
+        found = begin + np.flatnonzero(chosen)
+        text = np.searchsorted(begins, found, "right") - 1
+        found = found[found - begins[text] < lengths[text]]
+        starts.append(found)
+        keys.append(_piece_keys(joined, found))
+    starts, keys = np.concatenate(starts), np.concatenate(keys)
+    cuts = np.searchsorted(starts, begins)
+    return [np.unique(keys[a:b])[:BANDS].view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def band_keys(codes: np.ndarray) -> np.ndarray:
     """Buckets of a text: bit samples of the embeddings of its pieces, the BANDS lowest.
 
     A walk over a whole text is out of step from its first edits on, so that long texts would seldom agree.
     Walks that start anew wherever the text itself says so agree again in the next piece.
     """
-    padded = np.append(codes, np.zeros(PIECE + GRAM, np.uint32)).astype(np.uint64)
-    n = len(codes)
-    found = [np.zeros(0, np.uint64)]
-    for begin in range(0, n, SLICE // PIECE):
-        end = min(n, begin + SLICE // PIECE)
-        total = np.zeros(end - begin, np.uint64)
-        for k in range(GRAM):
-            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + padded[begin + k : end + k])
-        starts = begin + np.flatnonzero(total % np.uint64(SPACING) == 0)
-        if not begin:
-            starts = np.union1d(starts, [0])
-        pieces = padded[starts[:, None] + np.arange(PIECE)]
-        rows = _rows(pieces.astype(np.uint32))
-        steps, at = _steps(), np.zeros(len(starts), np.int64)
-        first = np.zeros((len(starts), PIECE), np.int64)
-        for k in range(PIECE):
-            first[:, k] = at
-            at = at + steps.take(rows[:, k] + (at & (PERIOD - 1)))
-        keys, every = np.zeros(len(starts), np.uint64), np.arange(len(starts))
-        for j in _band():
-            char = pieces[every, (first <= j).sum(axis=1) - 1]
-            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + char)
-        found.append(np.unique(keys)[:BANDS])
-    return np.unique(np.concatenate(found))[:BANDS].view(np.int64)
+    return _band_keys([codes])[0]
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two arrays of code points, or most + 1 if it is greater.
 
-    What both begin and end with is left out; of the rest only places at most ``most`` off the diagonal are looked at.
+    What both begin and end with is left out. Of the rest a column of the table is two integers, whose bits say
+    where it rises and falls by one; only rows at most ``most`` off the diagonal are kept, and it ends
+    when no place of a column can lead to ``most`` or less.
     """
     if len(a) > len(b):
         a, b = b, a
@@ -337,33 +382,53 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     a, b = a[: len(a) - end], b[: len(b) - end]
     if not len(a):
         return min(len(b), most + 1)
-    far = most + 1
-    low, row = 0, np.arange(min(len(b), most) + 1)
-    for i, c in enumerate(a, 1):
-        start, stop = max(0, i - most), min(len(b), i + most)
-        width = stop - start + 1
-        above = np.full(width + 1, far)  # the row before, at start - 1 to stop
-        shift = low - (start - 1)
-        above[max(0, shift) : shift + len(row)] = row[max(0, -shift) : max(0, -shift) + width + 1 - max(0, shift)]
-        best = above[1:] + 1
-        letters = b[max(start, 1) - 1 : stop]
-        best[width - len(letters) :] = np.minimum(best[width - len(letters) :], above[width - len(letters) : -1] + (letters != c))
-        if start == 0:
-            best[0] = i
-        ramp = np.arange(width)
-        row, low = np.minimum(np.minimum.accumulate(best - ramp) + ramp, far), start
-        if row.min() >= far:
-            return far
-    return min(int(row[-1]), far)
+    places: dict[int, int] = {}
+    columns = max(COLUMNS, most)
+    rises = falls = low = high = base = 0  # base is the value at row low, above the first bit
+    for start in range(0, len(b), columns):
+        stop = min(len(b), start + columns)
+        if start:
+            width = high - low
+            bits = [np.unpackbits(np.frombuffer(x.to_bytes(width // 8 + 1, "little"), np.uint8), bitorder="little") for x in (rises, falls)]
+            values = base + np.append(0, np.cumsum(bits[0][:width].astype(np.int64) - bits[1][:width]))
+            ahead = np.abs(len(b) - start - len(a) + np.arange(low, high + 1))
+            if (values + ahead).min() > most:
+                return most + 1
+        dropped = max(0, start - most) - low
+        gone = (1 << dropped) - 1
+        base += (rises & gone).bit_count() - (falls & gone).bit_count()
+        rises, falls, low = rises >> dropped, falls >> dropped, low + dropped
+        further = min(len(a), stop + most)
+        rises |= ((1 << (further - high)) - 1) << (high - low)
+        high = further
+        mask = (1 << (high - low)) - 1
+        letters = b[start:stop].tolist()
+        here = {}
+        for c in set(letters):
+            if c not in places:
+                places[c] = int.from_bytes(np.packbits(a == c, bitorder="little").tobytes(), "little")
+            here[c] = (places[c] >> low) & mask
+        for c in letters:
+            same = here[c]
+            level = ((((same & rises) + rises) ^ rises) | same | falls) & mask
+            more = ((falls | (mask ^ (level | rises))) << 1 | 1) & mask
+            rises, falls = ((level & rises) << 1 & mask) | (mask ^ (level | more)), more & level
+        base += stop - start
+    return min(base + rises.bit_count() - falls.bit_count(), most + 1)
+
+
+def _gram_hashes(codes: np.ndarray) -> np.ndarray:
+    n = max(0, len(codes) - SHARED + 1)
+    codes, total = codes.astype(np.uint64), np.zeros(n, np.uint64)
+    for k in range(SHARED):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += codes[k : n + k]
+    return total
 
 
 def _grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different grams of SHARED characters, as sorted hashes, and how often each is there."""
-    n = max(0, len(codes) - SHARED + 1)
-    total = np.zeros(n, np.uint64)
-    for k in range(SHARED):
-        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + codes[k : n + k].astype(np.uint64))
-    return np.unique(total, return_counts=True)
+    return np.unique(_gram_hashes(codes), return_counts=True)
 
 
 def _may_be_near(x: tuple, y: tuple, longer: int, most: int) -> bool:
@@ -375,55 +440,241 @@ def _may_be_near(x: tuple, y: tuple, longer: int, most: int) -> bool:
     return int(np.minimum(x[1][i], y[1][j]).sum()) >= needed
 
 
-def _nearby(share: float):
-    """Some texts, to tell which of them are linked to another."""
+def _sketches(texts: list[np.ndarray]) -> list[bytes]:
+    """One-permutation hashing of each text's grams, repeats counted: four planes of BINS bits, one for each bit of the digits."""
+    grams = [np.sort(_gram_hashes(x)) for x in texts]
+    lengths = np.array([len(x) for x in grams])
+    text, grams = np.repeat(np.arange(len(texts)), lengths), np.concatenate(grams)
+    begin = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (text[1:] != text[:-1]))) if len(grams) else np.zeros(0, np.int64)
+    turn = np.arange(len(grams)) - np.repeat(begin, np.diff(np.append(begin, len(grams))))
+    hashes = mix(mix(grams) + turn.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    none = np.uint64(2**64 - 1)
+    low = np.full(len(texts) * BINS, none)
+    np.minimum.at(low, text * BINS + (hashes % np.uint64(BINS)).astype(np.int64), hashes)
+    digits = np.where(low == none, 0, mix(low) % np.uint64(15) + np.uint64(1)).astype(np.uint8).reshape(len(texts), BINS)
+    planes = np.concatenate([np.packbits(digits >> k & 1, axis=1, bitorder="little") for k in range(4)], axis=1)
+    return [x.tobytes() for x in planes]
 
-    def prepare(data: list[bytes]):
-        texts = [codes_of(x.decode()) for x in data]
-        grams = [_grams(x) for x in texts]
 
-        def near(one: bytes) -> np.ndarray:
-            own = codes_of(one.decode())
-            mine, out = _grams(own), np.zeros(len(texts), bool)
-            for k, (text, its) in enumerate(zip(texts, grams)):
-                longer = max(len(own), len(text))
-                most = int(longer * share)
-                if abs(len(own) - len(text)) <= most and _may_be_near(mine, its, longer, most):
-                    out[k] = edit_distance(own, text, most) <= most
-            return out
+def sketch(codes: np.ndarray) -> bytes:
+    """The sketch of a text's grams."""
+    return _sketches([codes])[0]
+
+
+def _alike(words: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether pairs (a, b) of texts of n characters may be near, and how alike their sketches are, whose k-th words are row k.
+
+    At the bound two texts share a known part of their grams, and in each bin the lowest of both is
+    shared with that probability; ERRORS standard errors fewer equal digits are let through.
+    """
+    each = BINS // 64
+    either, both, equal = (np.zeros(len(a), np.int64) for _ in range(3))
+    for k in range(each):
+        x, y = ([words[k + each * plane].take(side) for plane in range(4)] for side in (a, b))
+        full_x, full_y = x[0] | x[1] | x[2] | x[3], y[0] | y[1] | y[2] | y[3]
+        differ = (x[0] ^ y[0]) | (x[1] ^ y[1]) | (x[2] ^ y[2]) | (x[3] ^ y[3])
+        either += np.bitwise_count(full_x | full_y)
+        both += np.bitwise_count(full_x & full_y)
+        equal += np.bitwise_count(full_x & ~differ)
+    longer = np.maximum(n[a], n[b])
+    needed = longer - SHARED + 1 - (longer * share).astype(np.int64) * SHARED
+    every = np.maximum(n[a] - SHARED + 1, 0) + np.maximum(n[b] - SHARED + 1, 0)
+    shared = either * np.maximum(needed, 0) / np.maximum(every - needed, 1)
+    expected = shared + np.maximum(both - shared, 0) / 15
+    spread = np.sqrt(expected * np.maximum(1 - expected / np.maximum(either, 1), 0))
+    return (needed <= 0) | (equal >= expected - ERRORS * spread), equal / np.maximum(either, 1)
+
+
+def _candidates(share: float, most: int | None):
+    """Rows (bucket, i, j, place, node, part, n, sketch), sorted by the first three -> rows (a, b, left).
+
+    A row with a and b is a pair of different parts of a bucket that may be near, of those that are among the ``most``
+    most alike of one of both parts; a row with ``left`` alone is a bucket of which pairs were left out.
+    """
 
-        return near
+    def pairs_of(group: np.ndarray, columns: list[np.ndarray], sketches: np.ndarray) -> pa.RecordBatch:
+        bucket, i, j, place, node, part, n = columns
+        words = np.ascontiguousarray(sketches.T)
+        ends = np.append(group[1:], len(node))
+        others = np.repeat(ends, ends - group) - np.arange(len(node)) - 1
+        upto = np.append(0, np.cumsum(others))
+        found, begin = [], 0
+        while begin < len(node):
+            end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + PAIRS, "right")) - 1)
+            a = np.repeat(np.arange(begin, end), others[begin:end])
+            b = a + 1 + np.arange(len(a)) - (upto[a] - upto[begin])
+            begin = end
+            longer = np.maximum(n[a], n[b])
+            kept = (part[a] != part[b]) & ((i[a] == j[a]) | (place[a] != place[b]))
+            kept &= np.abs(n[a] - n[b]) <= (longer * share).astype(np.int64)
+            a, b = a[kept], b[kept]
+            near, likeness_ = _alike(words, n, a, b, share)
+            found.append((a[near], b[near], likeness_[near]))
+        a, b, alike = (np.concatenate([f[k] for f in found]) for k in range(3))
+        left = np.zeros(0, np.int64)
+        low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+        if most is not None and len(a):
+            tie = mix(mix(low.astype(np.uint64)) + high.astype(np.uint64))
+            where = np.repeat(np.arange(len(group)), ends - group)
+            pair, side = np.tile(np.arange(len(a)), 2), np.concatenate([a, b])
+            order = np.lexsort((tie[pair], -alike[pair], part[side], where[side]))
+            side = side[order]
+            first = np.flatnonzero(np.append(True, (np.diff(part[side]) != 0) | (np.diff(where[side]) != 0)))
+            rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+            kept = np.zeros(len(a), bool)
+            kept[pair[order][rank < most]] = True
+            left = np.unique(bucket[a[~kept]])
+            low, high = low[kept], high[kept]
+        if len(low):
+            low, high = np.unique(np.stack([low, high]), axis=1)
+        nulls = pa.nulls(len(left), pa.int64()), pa.nulls(len(low), pa.int64())
+        columns = [pa.concat_arrays([pa.array(low), nulls[0]]), pa.concat_arrays([pa.array(high), nulls[0]])]
+        return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([nulls[1], pa.array(left)])], names=["a", "b", "left"])
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for frame in frames:
+            if not frame.num_rows:
+                continue
+            columns = [frame.column(k).to_numpy().astype(np.int64) for k in range(7)]
+            sketches = np.frombuffer(b"".join(frame.column(7).to_pylist()), np.uint64).reshape(frame.num_rows, BINS // 16)
+            if rest is not None:
+                columns = [np.concatenate(x) for x in zip(rest[0], columns)]
+                sketches = np.concatenate([rest[1], sketches])
+            differ = np.any([x[1:] != x[:-1] for x in columns[:3]], axis=0)
+            group = np.append(0, np.flatnonzero(differ) + 1)
+            last = group[-1]
+            if last:
+                yield pairs_of(group[:-1], [x[:last] for x in columns], sketches[:last])
+            rest = [x[last:] for x in columns], sketches[last:]
+        if rest is not None:
+            yield pairs_of(np.zeros(1, np.int64), *rest)
 
-    return prepare
+    return run
 
 
-def _promising(share: float):
-    """Keep the pairs (a, b, x, y) of texts that share enough grams."""
+def _near(share: float):
+    """Keep the pairs (a, b, x, y) whose texts x and y are near."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0  # texts of other pairs, as one is often in many
         for frame in frames:
             kept = []
-            for x, y in zip(frame.column(2), frame.column(3)):
-                x, y = codes_of(x.as_py().decode()), codes_of(y.as_py().decode())
+            for pair in zip(frame.column(2).to_pylist(), frame.column(3).to_pylist()):
+                if size > PREPARED:
+                    held, size = {}, 0
+                for text in pair:
+                    if text not in held:
+                        codes = codes_of(text)
+                        held[text] = codes, _grams(codes)
+                        size += len(codes)
+                (x, its), (y, others) = (held[text] for text in pair)
                 longer = max(len(x), len(y))
                 most = int(longer * share)
-                kept.append(abs(len(x) - len(y)) <= most and _may_be_near(_grams(x), _grams(y), longer, most))
-            yield frame.filter(pa.array(kept, pa.bool_()))
+                may_be = abs(len(x) - len(y)) <= most and _may_be_near(its, others, longer, most)
+                kept.append(may_be and edit_distance(x, y, most) <= most)
+            yield frame.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     return run
 
 
-def _banded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for frame in frames:
-        keys = [band_keys(codes_of(x.as_py())) for x in frame.column(1)]
-        yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"])
+def _classes(n: int, share: float) -> list[int]:
+    """Classes of lengths of a text, of which any two texts whose lengths may be near have one in common."""
+    if share <= 0:
+        return [n]
+    if share >= 1:
+        return [0]
+    place = math.log(n) / -math.log1p(-share)
+    return sorted({math.floor((place - 1e-6) / CLASS), math.floor((place + 1 + 1e-6) / CLASS)})
+
+
+def _banded(share: float):
+    """Rows (same, doc_id, text) -> the text's length, buckets and sketch in place of the text."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            at = 0
+            while at < frame.num_rows:
+                texts, size = [], 0
+                while at + len(texts) < frame.num_rows and size < STRETCH:
+                    texts.append(codes_of(frame.column(2)[at + len(texts)].as_py()))
+                    size += len(texts[-1])
+                keys = []
+                for codes, bands in zip(texts, _band_keys(texts)):
+                    turns = [c * 0xD1342543DE82EF95 % 2**64 for c in _classes(len(codes), share)]
+                    keys.append(mix(np.add.outer(np.array(turns, np.uint64), bands.view(np.uint64)).reshape(-1)).view(np.int64))
+                arrays = [
+                    pa.array([len(x) for x in texts], pa.int64()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(_sketches(texts), pa.binary()),
+                ]
+                ids = [frame.column(k).slice(at, len(texts)) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([*ids, *arrays], names=["same", "doc_id", "n", "keys", "sketch"])
+                at += len(texts)
+
+    return run
+
+
+def _shared(nodes: DataFrame) -> DataFrame:
+    """Rows (bucket, node, blocks) of the buckets that several nodes share."""
+    buckets = nodes.select(F.explode("keys").alias("bucket"), "node")
+    shared = buckets.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1")
+    return cut(shared.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size"))
+
+
+def _likely(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None, share: float, most: int | None) -> DataFrame:
+    """What _candidates() finds in the rows, whose nodes are parts of their own where ``labels`` lacks them."""
+    placed = rows.withColumn("place", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("bucket", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "node")
+    parts = placed.withColumn("part", F.col("node"))
+    if labels is not None:
+        parts = placed.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    full = parts.join(nodes.select("node", "n", "sketch"), "node").select("bucket", "i", "j", "place", "node", "part", "n", "sketch")
+    ordered = full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return cut(map_arrow(ordered, _candidates(share, most), "a long, b long, left long"))
+
+
+def _verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], share: float) -> DataFrame:
+    """The pairs (a, b) whose texts are near."""
+    texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return cut(map_arrow(both, _near(share), "a long, b long"))
+
+
+def _link(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], share: float) -> DataFrame:
+    """Components of the near pairs that share a bucket: (node, component), for linked nodes.
+
+    Sketches, not texts, go with the rows of a bucket, in blocks of BLOCK rows. The pairs they let through are aligned,
+    first the likeliest of each text; then, in buckets of which pairs were left out, those of each component so far, and
+    last all whose texts are still in different components.
+    """
+    rows = _shared(nodes)
+    release(nodes.sparkSession)
+    labels = links = tested = None
+    for most in (*LIKELY, None):
+        found = _likely(rows, nodes, labels, share, most)
+        pairs = found.where("left is null").select("a", "b").distinct()
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        left = cut(found.where("left is not null").select(F.col("left").alias("bucket")).distinct())
+        release(nodes.sparkSession)
+        near = _verified(pairs, texts_of, share)
+        links = near if links is None else links.unionByName(near)
+        labels = connected_components(links)
+        if left.isEmpty():
+            break
+        rows = cut(rows.join(left, "bucket", "left_semi"))
+        del found
+        release(nodes.sparkSession)
+    return labels
 
 
 def near_texts(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents that are an edit distance of at most ``share`` of the longer text apart.
 
-    Candidates agree in a bit-sampled band of the embedding of a piece and are verified by their true
-    edit distance, of one document for each distinct text. Returns the id and ``component_id``
+    Candidates agree in a bit-sampled band of the embedding of a piece and in a class of lengths; those whose sketches
+    may be those of near texts are verified by their true edit distance, of one document for each distinct text. Returns the id and ``component_id``
     (the smallest id reachable). Rows that repeat an id with another text are documents of their own. Null
     and empty texts stand alone; a null id gives a null component_id; equal rows repeat their result; an
     empty table gives no rows.
@@ -431,23 +682,20 @@ def near_texts(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     source = source.withColumn("same", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     usable = source.where("text is not null and text != '' and doc_id is not null")
-    groups = numbered(usable.groupBy("same").agg(F.min("doc_id").alias("id")))
-    reps = groups.select(F.col("same").alias("key"), "id", "node")
-    one = usable.join(reps, (F.col("same") == F.col("key")) & (F.col("doc_id") == F.col("id")))
-    texts = cut(one.select("node", "text").dropDuplicates(["node"]))
-    nodes = cut(map_arrow(texts, _banded, "node long, keys array<long>"))
-
-    def fetch(ids: DataFrame) -> DataFrame:
-        return texts.join(ids, "node", "left_semi").select("node", F.col("text").cast("binary").alias("data"))
-
-    def alike(both: DataFrame) -> DataFrame:
-        hopeful = map_arrow(both, _promising(share), "a long, b long, x binary, y binary")
-        pairs = hopeful.select("a", "b", F.col("x").cast("string").alias("x"), F.col("y").cast("string").alias("y"))
-        pairs = pairs.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(share)).cast("int"))
-        close = (F.abs(F.length("x") - F.length("y")) <= F.col("most")) & (F.expr("levenshtein(x, y, most)") >= 0)
-        return pairs.where(close).select("a", "b")
-
-    labels = link_buckets(nodes, fetch, alike, _nearby(share))
+    schema = "same string, doc_id long, n long, keys array<long>, sketch binary"
+    banded = map_arrow(usable.select("same", "doc_id", "text"), _banded(share), schema)
+    groups = numbered(
+        banded.groupBy("same").agg(
+            F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+        )
+    )
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = groups.join(ids, "node", "left_semi").select(F.col("same").alias("key"), "id", "node")
+        one = usable.join(wanted, (F.col("same") == F.col("key")) & (F.col("doc_id") == F.col("id")))
+        return one.select("node", "text").dropDuplicates(["node"])
+
+    labels = _link(groups, texts_of, share)
     placed = groups.select("same", "node", "id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut(placed)
     heads = placed.groupBy("component").agg(F.min("id").alias("component_id"))

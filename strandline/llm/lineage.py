@@ -31,6 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete now the shuffle files and checkpoints that nothing refers to any more.
+
+    It does so when the driver's JVM collects garbage, which on a driver with memory to spare may be never.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that Spark wrote, in whatever store it is."""
     jvm = spark.sparkContext._jvm

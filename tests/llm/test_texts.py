@@ -417,6 +417,47 @@ def test_near_texts_equal_brute_force(spark):
     assert rows_of(found, "doc_id", "component_id") == sorted(want, key=repr)
 
 
+def test_edit_distance_in_several_stretches(monkeypatch):
+    monkeypatch.setattr(editprint, "COLUMNS", 5)
+    rng = random.Random(14)
+    for _ in range(60):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(20, 60)))
+        b = edits(rng, a, rng.randrange(12))
+        for most in (2, 6, 11):
+            assert editprint.edit_distance(editprint.codes_of(a), editprint.codes_of(b), most) == min(plain_distance(a, b), most + 1)
+
+
+def test_sketches_tell_near_texts_from_those_that_share_a_passage():
+    rng = random.Random(15)
+    for size in (40, 300, 2000):
+        passage = words(rng, size)[: size // 5]
+        texts = [passage + words(rng, size)[: size - len(passage)] for _ in range(40)]
+        near = [edits(rng, t, int(size * editprint.SHARE) - 1) for t in texts]
+        codes = [editprint.codes_of(t) for t in texts + near]
+        held = np.stack([np.frombuffer(editprint.sketch(c), np.uint64) for c in codes], axis=1)
+        n, k = np.array([len(c) for c in codes]), np.arange(40)
+        assert editprint._alike(held, n, k, k + 40, editprint.SHARE)[0].all()
+        if size >= 300:
+            assert not editprint._alike(held, n, k, (k + 1) % 40, editprint.SHARE)[0].any()
+
+
+@pytest.mark.parametrize("block,likely", [(2048, (4, 8, 32)), (4, (1,)), (3, (1, 2))])
+def test_near_texts_that_share_a_passage(spark, monkeypatch, block, likely):
+    monkeypatch.setattr(editprint, "BLOCK", block)
+    monkeypatch.setattr(editprint, "LIKELY", likely)
+    rng = random.Random(16)
+    passage = words(rng, 30)
+    texts = [passage + words(rng, 40) for _ in range(20)]
+    texts += [edits(rng, texts[k % 3], 1 + k) for k in range(15)]
+    codes = [editprint.codes_of(t) for t in texts]
+    linked = [(b, a) for a in range(len(texts)) for b in range(a) if
+              editprint.edit_distance(codes[a], codes[b], (m := int(max(len(codes[a]), len(codes[b])) * editprint.SHARE))) <= m]
+    label = components(len(texts), linked)
+    want = sorted((k, min(m for m in range(len(texts)) if label[m] == label[k])) for k in range(len(texts)))
+    found = editprint.near_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(tuple(r) for r in found.select("doc_id", "component_id").collect()) == want
+
+
 def test_empty_tables(no_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     for df in (
