@@ -45,6 +45,8 @@ BLOCK = 2048
 LIKELY = (4, 8, 32)
 #: Characters of texts that are banded together, about.
 STRETCH = 1 << 16
+#: Texts of pairs up to which their hashes (about 100 bytes each) are broadcast.
+BROADCAST_TEXTS = 200_000
 #: Characters of texts whose grams are held for the next pairs.
 PREPARED = 1 << 21
 #: Pairs compared at a time, and columns of an alignment between two looks at whether it can still be near.
@@ -691,7 +693,9 @@ def near_texts(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", te
     )
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = groups.join(ids, "node", "left_semi").select(F.col("same").alias("key"), "id", "node")
+        wanted = cut(groups.join(ids, "node", "left_semi").select(F.col("same").alias("key"), "id", "node"))
+        if wanted.count() <= BROADCAST_TEXTS:  # so that texts that no pair has are not shuffled
+            wanted = F.broadcast(wanted)
         one = usable.join(wanted, (F.col("same") == F.col("key")) & (F.col("doc_id") == F.col("id")))
         return one.select("node", "text").dropDuplicates(["node"])
 
