@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -555,8 +556,15 @@ def _candidates(share: float, most: int | None):
     return run
 
 
+def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in less space, as each is shuffled once for each pair it is in."""
+    for frame in frames:
+        data = [zlib.compress(x.as_py().encode(), 1) for x in frame.column(1)]
+        yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(data, pa.binary())], names=["node", "data"])
+
+
 def _near(share: float):
-    """Keep the pairs (a, b, x, y) whose texts x and y are near."""
+    """Keep the pairs (a, b, x, y) whose packed texts x and y are near."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0  # texts of other pairs, as one is often in many
@@ -567,7 +575,7 @@ def _near(share: float):
                     held, size = {}, 0
                 for text in pair:
                     if text not in held:
-                        codes = codes_of(text)
+                        codes = codes_of(zlib.decompress(text).decode())
                         held[text] = codes, _grams(codes)
                         size += len(codes)
                 (x, its), (y, others) = (held[text] for text in pair)
@@ -697,7 +705,7 @@ def near_texts(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", te
         if wanted.count() <= BROADCAST_TEXTS:  # so that texts that no pair has are not shuffled
             wanted = F.broadcast(wanted)
         one = usable.join(wanted, (F.col("same") == F.col("key")) & (F.col("doc_id") == F.col("id")))
-        return one.select("node", "text").dropDuplicates(["node"])
+        return map_arrow(one.select("node", "text"), _packed, "node long, data binary").dropDuplicates(["node"])
 
     labels = _link(groups, texts_of, share)
     placed = groups.select("same", "node", "id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
